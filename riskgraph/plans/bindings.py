@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from riskgraph.functions import standardise as st
 from riskgraph.operators import catalogue as cat
 from riskgraph.operators.contracts import Contract, Evaluated, evaluate
+from riskgraph.operators.entailment import materialise
+from riskgraph.operators.harmonise import to_canonical, union_canonical
+from riskgraph.operators.lineage import cut
+from riskgraph.operators.triples import schema_triples
 from riskgraph.plans import zones
 
 RUN_ID = "run-fixed"
@@ -68,6 +72,25 @@ FIELDS = {
 UNIQUE_SOURCES = ("orders", "lineitem")
 
 
+def events_from(events: DataFrame) -> DataFrame:
+    """Row-local standardisation of events, for batch and stream alike."""
+    band = F.col("k") % 15 + 1
+    kinds = st.parse_gender(F.col("event_type"), ("view", "click"), ("signup", "purchase"))
+    return events.withColumn("k", st.to_int(F.get_json_object("props", "$.k"))).select(
+        F.col("event_id").cast("string").alias("record_key"),
+        band.alias("age_group_code"),
+        st.age_band_midpoint(band).alias("age_years_proxy"),
+        kinds.alias("gender"),
+        (F.col("value") / 5.0).alias("bmi"),
+        (F.col("user_id") % 2 == 1).alias("high_blood_pressure_flag"),
+        (F.col("value") >= 50).alias("high_cholesterol_flag"),
+        (F.col("k") >= 50).alias("smoking_flag"),
+        (F.col("user_id") % 3 == 0).alias("physical_activity_flag"),
+        (F.col("k") % 7 == 0).alias("heavy_alcohol_flag"),
+        (F.col("value") >= 100).alias("has_condition"),
+    )
+
+
 @dataclass(frozen=True)
 class Tables:
     """One folder of Parquet tables. Every property is a lazy plan over whole tables."""
@@ -108,21 +131,7 @@ class Tables:
 
     @cached_property
     def events_standard(self) -> DataFrame:
-        k = st.to_int(F.get_json_object("props", "$.k"))
-        kinds = st.parse_gender(F.col("event_type"), ("view", "click"), ("signup", "purchase"))
-        return self.read("events").withColumn("k", k).select(
-            F.col("event_id").cast("string").alias("record_key"),
-            (F.col("k") % 15 + 1).alias("age_group_code"),
-            st.age_band_midpoint(F.col("k") % 15 + 1).alias("age_years_proxy"),
-            kinds.alias("gender"),
-            (F.col("value") / 5.0).alias("bmi"),
-            (F.col("user_id") % 2 == 1).alias("high_blood_pressure_flag"),
-            (F.col("value") >= 50).alias("high_cholesterol_flag"),
-            (F.col("k") >= 50).alias("smoking_flag"),
-            (F.col("user_id") % 3 == 0).alias("physical_activity_flag"),
-            (F.col("k") % 7 == 0).alias("heavy_alcohol_flag"),
-            (F.col("value") >= 100).alias("has_condition"),
-        )
+        return events_from(self.read("events"))
 
     @cached_property
     def evaluated(self) -> dict[str, Evaluated]:
@@ -136,11 +145,45 @@ class Tables:
     def trusted(self) -> zones.Trusted:
         return zones.assemble_trusted(list(self.evaluated.values()))
 
+    fields = FIELDS
+
+    @cached_property
+    def canonical(self) -> DataFrame:
+        """Lazy canonical union, for plans that read it once."""
+        return union_canonical([
+            to_canonical(e.clean(), name, RUN_ID, RUN_TS, FIELDS[name]) for name, e in self.evaluated.items()])
+
     @cached_property
     def zone(self) -> zones.Exploitation:
+        """The canonical table written once, for plans that read it several times."""
         clean = {name: e.clean() for name, e in self.evaluated.items()}
         return zones.exploitation(clean, RUN_ID, RUN_TS, FIELDS, UNIQUE_SOURCES)
 
+    @property
+    def records(self) -> DataFrame:
+        return self.zone.records
+
+    @cached_property
+    def schema(self) -> DataFrame:
+        return schema_triples(self.spark)
+
+    @cached_property
+    def full(self) -> DataFrame:
+        return zones.full_graph(self.zone, RUN_ID, RUN_TS)
+
+    @cached_property
+    def full_store(self) -> DataFrame:
+        """The full graph as a table with one folder per predicate."""
+        return cut(self.full, partition_by="p")
+
+    @cached_property
+    def full_entailed_store(self) -> DataFrame:
+        return cut(materialise(self.full, self.schema, skip_subclass=True), partition_by="p")
+
+    @cached_property
+    def analytics(self) -> DataFrame:
+        return zones.analytics_graph(self.zone, RUN_ID, RUN_TS)
+
     @cached_property
-    def graphs(self) -> zones.Graphs:
-        return zones.graphs(self.zone, RUN_ID, RUN_TS)
+    def analytics_entailed(self) -> DataFrame:
+        return cut(materialise(self.analytics, self.schema))
