@@ -515,12 +515,12 @@ vec_nodes AS (SELECT DISTINCT s AS node FROM small_g WHERE (starts_with(s, {HR}
   OR starts_with(s, {HR} || 'indicator/')) AND s <> {h('population-group/age-13/gender-male')}),
 nv AS (SELECT node, CAST(embedding AS DOUBLE[]) AS e FROM vec_nodes JOIN embeddings
   ON vec_id = CAST('0x' || substr(md5(node), 1, 6) AS BIGINT) % (SELECT count(*) FROM embeddings))"""
-ZERO = "list_transform(range(64), x -> 0.0::DOUBLE)"
+ZERO = "list_transform(range(64), lambda x: 0.0::DOUBLE)"
 
 
 def _mean_list(conditions: list[tuple[str, str]]) -> str:
     """Mean vector per row: weighted sum of at most 17 node vectors."""
-    nodes = "list_filter([" + ", ".join(f"CASE WHEN {c} THEN {h('indicator/' + i)} END" for i, c in conditions) + "], x -> x IS NOT NULL)"
+    nodes = "list_filter([" + ", ".join(f"CASE WHEN {c} THEN {h('indicator/' + i)} END" for i, c in conditions) + "], lambda x: x IS NOT NULL)"
     return nodes
 
 
@@ -541,21 +541,21 @@ rn AS (SELECT *, {D} AS dn, {GROUP_IRI} AS gn, {_OBS} AS obs, {_RISK} AS risk, {
 {_set_mean('obs')}, {_set_mean('risk')}, {_set_mean('prot')},
 f AS (SELECT source_dataset, source_record_id, gn, target, len(obs) AS n1, len(risk) AS n2, len(prot) AS n3,
   list_concat(d.e, g.e, coalesce(om.e, {ZERO}), coalesce(rm.e, {ZERO}), coalesce(pm.e, {ZERO}),
-    list_transform(list_zip(d.e, g.e), z -> z[1] * z[2]), list_transform(list_zip(d.e, g.e), z -> abs(z[1] - z[2])),
+    list_transform(list_zip(d.e, g.e), lambda z: z[1] * z[2]), list_transform(list_zip(d.e, g.e), lambda z: abs(z[1] - z[2])),
     [len(obs)::DOUBLE, len(risk)::DOUBLE, len(prot)::DOUBLE]) AS x
   FROM rn JOIN nv d ON d.node = dn JOIN nv g ON g.node = gn LEFT JOIN obs_mean om ON om.ns = obs LEFT JOIN risk_mean rm ON rm.ns = risk
   LEFT JOIN prot_mean pm ON pm.ns = prot)"""
 SQL["emb_kg_features"] = graph_with(KG_FEATURES, """
 SELECT source_dataset, source_record_id, gn AS population_group, CAST(target AS INTEGER) AS target, CAST(n1 AS INTEGER) AS observed_indicator_count,
   CAST(n2 AS INTEGER) AS risk_indicator_count, CAST(n3 AS INTEGER) AS protective_indicator_count, CAST(len(x) AS INTEGER) AS width,
-  round(list_sum(x), 5) AS total, round(list_inner_product(x, list_transform(range(1, 452), k -> k::DOUBLE)), 4) AS weighted FROM f""")
+  round(list_sum(x), 5) AS total, round(list_inner_product(x, list_transform(range(1, 452), lambda k: k::DOUBLE)), 4) AS weighted FROM f""")
 _TAB = ", ".join(f"CAST({c} AS DOUBLE) AS tab_{c}" for c in (*V.ENRICHED_NUMERIC, *V.HYBRID_BINARY))
 SQL["emb_hybrid_features"] = graph_with(f"""{NODE_VEC},
 hf AS (SELECT r.*, coalesce(d.e, {ZERO}) AS de, coalesce(g.e, {ZERO}) AS ge FROM (SELECT *, {D} AS dn, {GROUP_IRI} AS gn FROM records WHERE target IS NOT NULL) r
   LEFT JOIN nv d ON d.node = dn LEFT JOIN nv g ON g.node = gn),
-hx AS (SELECT *, list_concat(ge, de, list_transform(list_zip(ge, de), z -> z[1] * z[2])) AS x FROM hf)""", f"""
+hx AS (SELECT *, list_concat(ge, de, list_transform(list_zip(ge, de), lambda z: z[1] * z[2])) AS x FROM hf)""", f"""
 SELECT source_dataset, source_record_id, CAST(target AS INTEGER) AS target, {_TAB}, CAST(len(x) AS INTEGER) AS width, round(list_sum(x), 5) AS total,
-  round(list_inner_product(x, list_transform(range(1, 193), k -> k::DOUBLE)), 4) AS weighted FROM hx""")
+  round(list_inner_product(x, list_transform(range(1, 193), lambda k: k::DOUBLE)), 4) AS weighted FROM hx""")
 
 # ---- sampling -------------------------------------------------------------------------------------------------------------------------
 HASH = f"md5(source_dataset || '|' || source_record_id || '|' || record_ordinal || '|{V.SEED}')"

@@ -8,23 +8,28 @@ from pyspark.sql import functions as F
 
 from riskgraph.operators.triples import TRIPLE_COLUMNS, TRIPLE_SCHEMA
 
-LINE = r'^<([^>]*)> <([^>]*)> (?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(?:\^\^<([^>]*)>)?) \.$'
+SUBJECT_PREDICATE = r"^<([^>]*)> <([^>]*)> "
+TRIPLE_LINE = SUBJECT_PREDICATE + r'["<].* \.$'
+DATATYPE = r'"\^\^<([^<>"]*)>$'
+LANGUAGE_TAG = r'"@[A-Za-z0-9-]+$'
+ESCAPES = (('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"))
 
 
 def _escape(text: Column) -> Column:
     """Backslash first, then the characters a literal line cannot hold."""
-    for raw, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+    for raw, escaped in (("\\", "\\\\"), *ESCAPES):
         text = F.replace(text, F.lit(raw), F.lit(escaped))
     return text
 
 
 def _unescape(text: Column) -> Column:
-    """Inverse of the above; a doubled backslash is parked on a character that text does not hold."""
-    parked = "\u0001"
-    text = F.replace(text, F.lit("\\\\"), F.lit(parked))
-    for raw, escaped in (('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
-        text = F.replace(text, F.lit(escaped), F.lit(raw))
-    return F.replace(text, F.lit(parked), F.lit("\\"))
+    """Inverse of the above: the pieces between escaped backslashes are unescaped, then joined by one backslash."""
+    def piece(part: Column) -> Column:
+        for raw, escaped in ESCAPES:
+            part = F.replace(part, F.lit(escaped), F.lit(raw))
+        return part
+
+    return F.array_join(F.transform(F.split(text, r"\\\\", -1), piece), "\\")
 
 
 def to_lines(triples: DataFrame) -> DataFrame:
@@ -36,15 +41,23 @@ def to_lines(triples: DataFrame) -> DataFrame:
 
 
 def from_lines(lines: DataFrame) -> DataFrame:
-    """Parse lines; anything that is not a triple line (comments, blanks) is left out."""
-    def part(n: int) -> Column:
-        return F.regexp_extract("value", LINE, n)
-
-    is_iri = F.col("value").rlike(r"^<[^>]*> <[^>]*> <")
-    kind = F.when(is_iri, "iri").otherwise("literal")
-    return lines.where(F.col("value").rlike(LINE)).select(
-        part(1).alias("s"), part(2).alias("p"), F.when(is_iri, part(3)).otherwise(_unescape(part(4))).alias("o"),
-        kind.alias("o_kind"), F.nullif(part(5), F.lit("")).alias("o_type"),
+    """Parse lines; anything that is not a triple line (comments, blanks) is left out.
+
+    Subject and predicate come from the head of the line and the datatype from its end, so that the length of a
+    literal never becomes the depth of a regular expression.
+    """
+    head = F.regexp_extract("value", SUBJECT_PREDICATE, 0)
+    rest = F.expr("substring(value, length(_head) + 1, length(value) - length(_head) - 2)")
+    cells = lines.where(F.col("value").rlike("(?s)" + TRIPLE_LINE)).withColumn("_head", head).select(
+        F.regexp_extract("value", SUBJECT_PREDICATE, 1).alias("s"),
+        F.regexp_extract("value", SUBJECT_PREDICATE, 2).alias("p"), rest.alias("rest"))
+    is_iri = F.col("rest").startswith("<")
+    typed = cells.withColumn("o_type", F.when(~is_iri, F.nullif(F.regexp_extract("rest", DATATYPE, 1), F.lit(""))))
+    quoted = F.regexp_replace(F.regexp_replace("rest", DATATYPE, '"'), LANGUAGE_TAG, '"')
+    node, text = F.expr("substring(rest, 2, length(rest) - 2)"), F.expr("substring(_quoted, 2, length(_quoted) - 2)")
+    return typed.withColumn("_quoted", quoted).select(
+        "s", "p", F.when(is_iri, node).otherwise(_unescape(text)).alias("o"),
+        F.when(is_iri, "iri").otherwise("literal").alias("o_kind"), "o_type",
     )
 
 
