@@ -104,7 +104,7 @@ def _orthonormal(block: DataFrame) -> DataFrame:
     values, vectors = np.linalg.eigh(_cross_product(block))
     strong = values > values.max() * 1e-12
     inverse = np.where(strong, 1.0 / np.sqrt(np.where(strong, values, 1.0)), 0.0)
-    return cut(_times_small(block, vectors * inverse))
+    return _times_small(block, vectors * inverse)
 
 
 def svd_embedding(
@@ -126,12 +126,12 @@ def svd_embedding(
         F.sequence(F.lit(0), F.lit(width - 1)),
         lambda k: F.xxhash64(F.col("node"), k, F.lit(seed)) / F.lit(float(2**63)),
     )
-    basis = _orthonormal(_apply(matrix, nodes.select("node", noise.alias("vec")), width))
+    basis = _orthonormal(cut(_apply(matrix, nodes.select("node", noise.alias("vec")), width)))
     for _ in range(iterations):
-        basis = _orthonormal(_apply(matrix, basis, width))
+        basis = _orthonormal(cut(_apply(matrix, basis, width)))
+    basis = cut(basis)
     image = _apply(matrix, basis, width).select("node", F.col("vec").alias("image"))
-    both = basis.join(image, "node")
-    values, vectors = np.linalg.eigh(_cross_product(both, "image"))
+    values, vectors = np.linalg.eigh(_cross_product(basis.join(image, "node"), "image"))
     leading = np.argsort(-np.abs(values), kind="stable")[:kept]
     rotation = vectors[:, leading] * np.abs(values[leading])
     scores = cut(_times_small(basis, np.pad(rotation, ((0, 0), (0, dim - kept)))))
@@ -205,6 +205,15 @@ def _train_shard(
     })
 
 
+def _shard_trainer(model: str, epochs: int, batch: int, rate: float, seed: int):
+    """Trainer of one shard in a fixed row order, so that a repeated task trains alike."""
+    def fit(part: pd.DataFrame) -> pd.DataFrame:
+        ordered = part.sort_values(["s", "p", "o"], kind="stable").reset_index(drop=True)
+        return _train_shard(ordered, model, epochs, batch, rate, seed)
+
+    return fit
+
+
 def train_translation_model(
     train: DataFrame, model: str = "DistMult", dim: int = V.EMBEDDING_DIM, rounds: int = 6, epochs_per_round: int = 5,
     batch: int = 256, rate: float = 0.01, shard_rows: int = 50_000, seed: int = V.SEED,
@@ -229,10 +238,7 @@ def train_translation_model(
         rows = lookup_join(rows, relations.select(F.col("node").alias("p"), F.col("vec").alias("rv")), "p")
         rows = lookup_join(rows, entities.select(F.col("node").alias("o"), F.col("vec").alias("tv")), "o")
 
-        def fit(part: pd.DataFrame, round_seed: int = seed + 1000 * step) -> pd.DataFrame:
-            ordered = part.sort_values(["s", "p", "o"], kind="stable").reset_index(drop=True)
-            return _train_shard(ordered, model, epochs_per_round, batch, rate, round_seed)
-
+        fit = _shard_trainer(model, epochs_per_round, batch, rate, seed + 1000 * step)
         trained = rows.groupBy("shard").applyInPandas(fit, f"kind string, {NODE_VEC}, weight double")
         total = F.sum("weight")
         mean = F.array(*[F.sum(F.col("weight") * F.get("vec", F.lit(k))) / total for k in range(dim)])
