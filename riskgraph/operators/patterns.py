@@ -2,7 +2,8 @@
 
 ``match`` filters one triple pattern; ``star`` folds several functional predicates of a subject into one wide row
 with a single aggregate instead of one join per predicate. Labels and other vocabulary reach the rows through
-size-checked lookup joins, and aggregates run before those joins wherever the result allows it.
+size-checked lookup joins, and aggregates run before those joins wherever the result allows it. Where the vocabulary
+is at hand apart from the records, pass it, so that labels are not sought among record triples.
 """
 
 from __future__ import annotations
@@ -66,14 +67,17 @@ def _measurements(triples: DataFrame, **predicates: str) -> DataFrame:
     return star(triples, "AggregateMeasurement", "measurement", {k: hr(v) for k, v in predicates.items()})
 
 
-def entities_of_group(triples: DataFrame, group: str = hr("population-group/age-9/gender-female"), limit: int = 50) -> DataFrame:
+def entities_of_group(
+    triples: DataFrame, vocabulary: DataFrame | None = None, group: str = hr("population-group/age-9/gender-female"),
+    limit: int = 50,
+) -> DataFrame:
     """Records of one population group with their dataset and outcome label; ordered, so the cut is stable."""
     members = match(triples, hr("belongsToPopulationGroup"), s="s", object_is=group)
     mine = triples.where(
         F.col("p").isin(V.RDF_TYPE, hr("fromDataset"), hr("hasOutcome"))
     ).join(members, "s", "left_semi")
     records = star(mine, "HealthRecord", "record", {"dataset": hr("fromDataset"), "outcome": hr("hasOutcome")})
-    named = lookup_join(records, labels(triples, "Outcome", "outcome", "outcomeLabel"), "outcome")
+    named = lookup_join(records, labels(vocabulary or triples, "Outcome", "outcome", "outcomeLabel"), "outcome")
     return named.select("record", "dataset", "outcomeLabel").orderBy("record").limit(limit)
 
 
@@ -172,7 +176,7 @@ def _positive_factors(triples: DataFrame, predicate: str) -> DataFrame:
     return folded.where(F.col("_record") & F.col("_positive")).select("factors")
 
 
-def cooccurring_risk_factors(triples: DataFrame, limit: int = 20) -> DataFrame:
+def cooccurring_risk_factors(triples: DataFrame, vocabulary: DataFrame | None = None, limit: int = 20) -> DataFrame:
     """Pairs of risk factors in positive records.
 
     Records are first counted per distinct factor set (at most 2**7 of them); pairs are then formed once per set
@@ -183,22 +187,23 @@ def cooccurring_risk_factors(triples: DataFrame, limit: int = 20) -> DataFrame:
     first = counted.select("n", "factors", F.explode("factors").alias("a"))
     pairs = first.select("n", "a", F.explode(F.filter("factors", lambda f: f > F.col("a"))).alias("b"))
     totals = pairs.groupBy("a", "b").agg(F.sum("n").alias("coOccurringRecords"))
-    first_label = labels(triples, "Indicator", "a", "indicator1Label")
-    second_label = labels(triples, "Indicator", "b", "indicator2Label")
+    first_label = labels(vocabulary or triples, "Indicator", "a", "indicator1Label")
+    second_label = labels(vocabulary or triples, "Indicator", "b", "indicator2Label")
     named = lookup_join(lookup_join(totals, first_label, "a"), second_label, "b")
     return named.select("indicator1Label", "indicator2Label", "coOccurringRecords").orderBy(
         F.desc("coOccurringRecords"), "indicator1Label", "indicator2Label").limit(limit)
 
 
-def inferred_factors(entailed: DataFrame) -> DataFrame:
+def inferred_factors(entailed: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
     """All observed factors through the super-property; needs sub-property entailment."""
+    concepts = vocabulary or entailed
     per_factor = (
         _positive_factors(entailed, hr("hasObservedFactor")).select(F.explode("factors").alias("factor"))
         .groupBy("factor").agg(F.count(F.lit(1)).alias("recordCount"))
     )
-    category = entailed.where(F.col("p") == hr("indicatorCategory")).select(
+    category = concepts.where(F.col("p") == hr("indicatorCategory")).select(
         F.col("s").alias("factor"), F.col("o").alias("factorCategory"))
-    named = lookup_join(lookup_join(per_factor, labels(entailed, "Indicator", "factor", "factorLabel"), "factor"), category, "factor")
+    named = lookup_join(lookup_join(per_factor, labels(concepts, "Indicator", "factor", "factorLabel"), "factor"), category, "factor")
     return named.select("factorLabel", "factorCategory", "recordCount").orderBy(F.desc("recordCount"), "factorLabel")
 
 

@@ -6,8 +6,9 @@ distinct by construction (records, measurements) are never shuffled for deduplic
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Collection, Iterable, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,20 +20,36 @@ TRIPLE_COLUMNS = ("s", "p", "o", "o_kind", "o_type")
 TRIPLE_SCHEMA = "s string, p string, o string, o_kind string, o_type string"
 
 
-def link(s: Column, p: str, o: Column) -> tuple[Column, ...]:
-    """The five cells of an IRI-valued triple."""
-    return s, F.lit(p), o, F.lit("iri"), F.lit(None).cast("string")
+class Triple(NamedTuple):
+    """Template of one triple per row. The predicate is known when the plan is built."""
 
+    s: Column
+    p: str
+    o: Column
+    kind: str
+    datatype: str | None = None
 
-def literal(s: Column, p: str, value: Column, xsd: str | None = None) -> tuple[Column, ...]:
-    """The five cells of a literal triple; a plain label has no datatype."""
-    return s, F.lit(p), value.cast("string"), F.lit("literal"), F.lit(V.XSD + xsd if xsd else None).cast("string")
 
+def link(s: Column, p: str, o: Column) -> Triple:
+    """An IRI-valued triple."""
+    return Triple(s, p, o, "iri")
 
-def emit(df: DataFrame, triples: Sequence[tuple[Column, ...]]) -> DataFrame:
-    """Turn each row into its triples (``stack``, a plain generator); those without an object are dropped."""
-    cells = [cell for triple in triples for cell in triple]
-    stacked = df.select(F.stack(F.lit(len(triples)), *cells).alias(*TRIPLE_COLUMNS))
+
+def literal(s: Column, p: str, value: Column, xsd: str | None = None) -> Triple:
+    """A literal triple; a plain label has no datatype."""
+    return Triple(s, p, value.cast("string"), "literal", V.XSD + xsd if xsd else None)
+
+
+def emit(df: DataFrame, templates: Sequence[Triple], only: Collection[str] | None = None) -> DataFrame:
+    """Turn each row into its triples (``stack``, a plain generator); those without an object are dropped.
+
+    ``only`` names the predicates a reader needs: the others are never produced.
+    """
+    wanted = [t for t in templates if only is None or t.p in only]
+    if not wanted:
+        return df.sparkSession.createDataFrame([], TRIPLE_SCHEMA)
+    cells = [c for t in wanted for c in (t.s, F.lit(t.p), t.o, F.lit(t.kind), F.lit(t.datatype).cast("string"))]
+    stacked = df.select(F.stack(F.lit(len(wanted)), *cells).alias(*TRIPLE_COLUMNS))
     return stacked.where(F.col("o").isNotNull())
 
 
@@ -141,10 +158,10 @@ def population_groups(keys: DataFrame) -> DataFrame:
     ])
 
 
-def record_triples(records: DataFrame) -> DataFrame:
+def record_triples(records: DataFrame, only: Collection[str] | None = None) -> DataFrame:
     """Nine fixed triples per record and one per true risk or protective factor. No shuffle.
 
-    ``records`` is the canonical table with ``record_ordinal``.
+    ``records`` is the canonical table with ``record_ordinal``; ``only`` restricts the predicates produced.
     """
     code, gender, dataset = F.col("age_group_code"), F.col("gender"), F.col("source_dataset")
     base = records.select(
@@ -172,7 +189,7 @@ def record_triples(records: DataFrame) -> DataFrame:
         literal(s, hr("recordOrdinal"), F.col("record_ordinal"), "integer"),
         literal(s, hr("sourceDatasetName"), dataset, "string"),
         *factors,
-    ])
+    ], only)
 
 
 def measurement_triples(measurements: DataFrame) -> DataFrame:
@@ -220,14 +237,14 @@ def analytics_graph(profile: DataFrame, measurements: DataFrame, run_id: str, cr
 
 
 def full_graph(
-    records: DataFrame, profile: DataFrame, measurements: DataFrame, run_id: str, created_at: str
+    records: DataFrame, groups: DataFrame, profile: DataFrame, measurements: DataFrame, run_id: str, created_at: str
 ) -> DataFrame:
-    """The analytics graph plus one star per record.
+    """The analytics graph plus one star per record. ``groups`` holds the demographic keys of all records.
 
     Record and measurement blocks are sets by construction (one IRI per row, distinct predicates or objects),
     so only the small shared blocks are deduplicated; the bulk of the graph is never shuffled.
     """
-    shared = _shared(records.sparkSession, profile, records, run_id, created_at)
+    shared = _shared(records.sparkSession, profile, groups, run_id, created_at)
     return shared.unionByName(measurement_triples(measurements)).unionByName(record_triples(records))
 
 

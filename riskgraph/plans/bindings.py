@@ -8,13 +8,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskgraph import vocabulary as V
 from riskgraph.functions import standardise as st
 from riskgraph.operators import catalogue as cat
 from riskgraph.operators.contracts import Contract, Evaluated, evaluate
 from riskgraph.operators.entailment import materialise
 from riskgraph.operators.harmonise import to_canonical, union_canonical
 from riskgraph.operators.lineage import cut
-from riskgraph.operators.triples import schema_triples
+from riskgraph.operators.triples import record_triples, schema_triples, vocabulary_triples
 from riskgraph.plans import zones
 
 RUN_ID = "run-fixed"
@@ -159,9 +160,10 @@ class Tables:
         clean = {name: e.clean() for name, e in self.evaluated.items()}
         return zones.exploitation(clean, RUN_ID, RUN_TS, FIELDS, UNIQUE_SOURCES)
 
-    @property
+    @cached_property
     def records(self) -> DataFrame:
-        return self.zone.records
+        """Numbered records written once, for plans that read them several times."""
+        return cut(self.zone.records)
 
     @cached_property
     def schema(self) -> DataFrame:
@@ -172,13 +174,12 @@ class Tables:
         return zones.full_graph(self.zone, RUN_ID, RUN_TS)
 
     @cached_property
-    def full_store(self) -> DataFrame:
-        """The full graph as a table with one folder per predicate."""
-        return cut(self.full, partition_by="p")
+    def vocabulary(self) -> DataFrame:
+        return vocabulary_triples(self.spark)
 
-    @cached_property
-    def full_entailed_store(self) -> DataFrame:
-        return cut(materialise(self.full, self.schema, skip_subclass=True), partition_by="p")
+    def record_graph(self, *names: str) -> DataFrame:
+        """Record triples of the named predicates and the record type: all that a record pattern reads."""
+        return record_triples(self.zone.records, {V.RDF_TYPE, *map(V.hr, names)})
 
     @cached_property
     def analytics(self) -> DataFrame:

@@ -280,7 +280,7 @@ def kg_schema(t: Tables) -> DataFrame:
 
 @register
 def kg_record_triples(t: Tables) -> DataFrame:
-    return triples.record_triples(t.records)
+    return triples.record_triples(t.zone.records)
 
 
 @register
@@ -336,35 +336,50 @@ def kg_inferred_count(t: Tables) -> DataFrame:
 
 @register
 def kg_validation(t: Tables) -> DataFrame:
-    graph = cut(t.full)
-    counts = triples.manifest_counts(t.records, t.zone.measurements, graph).withColumn("_one", F.lit(1))
+    graph = cut(t.full)  # counted twice
+    counts = triples.manifest_counts(t.zone.canonical, t.zone.measurements, graph).withColumn("_one", F.lit(1))
     return counts.join(triples.validation_counts(graph).withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
 # ---- patterns --------------------------------------------------------------------------------------------
-def _pattern(key: str, operator: Callable[[DataFrame], DataFrame], graph: str) -> None:
+def _pattern(key: str, operator: Callable[[DataFrame], DataFrame]) -> None:
     def build(t: Tables) -> DataFrame:
-        return operator(t.full_store if graph == "full" else t.analytics)
+        return operator(t.analytics)
 
     build.__name__ = key
     register(build)
 
 
-_pattern("pat_01_entities", patterns.entities_of_group, "full")
-_pattern("pat_02_shared_indicators", patterns.shared_indicators, "analytics")
-_pattern("pat_03_rank_groups", patterns.rank_groups, "analytics")
-_pattern("pat_04_combine_indicators", patterns.combine_indicators, "analytics")
-_pattern("pat_05_multi_source_groups", patterns.multi_source_groups, "full")
-_pattern("pat_06_consistency", patterns.indicator_consistency, "analytics")
-_pattern("pat_07_outcome_by_age", patterns.outcome_by_age, "analytics")
-_pattern("pat_08_cooccurrence", patterns.cooccurring_risk_factors, "full")
-_pattern("pat_structure", patterns.structure_summary, "analytics")
-_pattern("pat_avg_rate", patterns.average_rate, "analytics")
+_pattern("pat_02_shared_indicators", patterns.shared_indicators)
+_pattern("pat_03_rank_groups", patterns.rank_groups)
+_pattern("pat_04_combine_indicators", patterns.combine_indicators)
+_pattern("pat_06_consistency", patterns.indicator_consistency)
+_pattern("pat_07_outcome_by_age", patterns.outcome_by_age)
+_pattern("pat_structure", patterns.structure_summary)
+_pattern("pat_avg_rate", patterns.average_rate)
+
+
+@register
+def pat_01_entities(t: Tables) -> DataFrame:
+    graph = t.record_graph("belongsToPopulationGroup", "fromDataset", "hasOutcome")
+    return patterns.entities_of_group(graph, t.vocabulary)
+
+
+@register
+def pat_05_multi_source_groups(t: Tables) -> DataFrame:
+    return patterns.multi_source_groups(t.record_graph("belongsToPopulationGroup", "fromDataset"))
+
+
+@register
+def pat_08_cooccurrence(t: Tables) -> DataFrame:
+    return patterns.cooccurring_risk_factors(t.record_graph("hasObservedRiskFactor", "hasOutcome"), t.vocabulary)
 
 
 @register
 def pat_09_inferred_factors(t: Tables) -> DataFrame:
-    return patterns.inferred_factors(t.full_entailed_store)
+    graph = t.record_graph("hasObservedRiskFactor", "hasObservedProtectiveFactor", "hasOutcome")
+    entailed = entailment.materialise(graph, t.schema, skip_subclass=True)
+    return patterns.inferred_factors(entailed, t.vocabulary)
 
 
 @register
@@ -377,7 +392,7 @@ def pat_00_match_join(t: Tables) -> DataFrame:
 
 @register
 def pat_report_rows(t: Tables) -> DataFrame:
-    report = patterns.report_rows(patterns.multi_source_groups(t.full_store), row_cap=20)
+    report = patterns.report_rows(pat_05_multi_source_groups(t), row_cap=20)
     return report.select("rows_returned", F.size("rows").alias("rows_shown"), "row_cap_applied")
 
 

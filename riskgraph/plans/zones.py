@@ -77,17 +77,17 @@ def exploitation(
     clean: Mapping[str, DataFrame], run_id: str, run_ts: str, fields: Mapping[str, Mapping] = harmonise.FIELDS,
     unique_sources: tuple[str, ...] = (V.CARDIO, V.CLEVELAND), keep: Callable[[DataFrame], DataFrame] = cut,
 ) -> Exploitation:
-    """``keep`` writes the numbered canonical table once; profile, measurements and graphs then read columns of it."""
+    """``keep`` writes the canonical table once; profile, measurements and records then read columns of it."""
     parts = [harmonise.to_canonical(df, name, run_id, run_ts, fields[name]) for name, df in clean.items()]
-    records = keep(harmonise.with_record_ordinal(union_canonical(parts), unique_sources))
-    canonical = records.drop("record_ordinal")
+    canonical = keep(union_canonical(parts))
     return Exploitation(
-        canonical, records, harmonise.dataset_profile(canonical, run_ts), harmonise.aggregate_measurements(canonical),
+        canonical, harmonise.with_record_ordinal(canonical, unique_sources),
+        harmonise.dataset_profile(canonical, run_ts), harmonise.aggregate_measurements(canonical),
     )
 
 
 def full_graph(zone: Exploitation, run_id: str, run_ts: str) -> DataFrame:
-    return triples.full_graph(zone.records, zone.profile, zone.measurements, run_id, run_ts)
+    return triples.full_graph(zone.records, zone.canonical, zone.profile, zone.measurements, run_id, run_ts)
 
 
 def analytics_graph(zone: Exploitation, run_id: str, run_ts: str) -> DataFrame:
