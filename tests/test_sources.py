@@ -100,5 +100,5 @@ def test_registry_is_consistent():
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     without = set(entry.queries()) - set(entry.oracle_sql())
-    assert without == {"emb_svd", "emb_train", "ml_candidates", "ml_graph_models", "ml_importance"}
+    assert without == {"emb_svd", "emb_train", "ml_candidates", "ml_graph_model", "ml_hybrid_model", "ml_importance"}
     assert json.dumps(sorted(entry.queries())) and V.INDICATORS
