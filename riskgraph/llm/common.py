@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,6 +63,6 @@ def runs(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = BAT
     """Arrow batches cut so that each holds about ``limit`` bytes of text."""
     for batch in batches:
         column = batch.column(text)
-        sizes = np.nan_to_num(np.asarray(pa.compute.binary_length(column).to_numpy(zero_copy_only=False), dtype=float))
+        sizes = np.nan_to_num(np.asarray(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=float))
         for lo, hi in slices(sizes.astype(np.int64), limit):
             yield batch.slice(lo, hi - lo)

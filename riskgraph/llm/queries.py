@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskgraph.llm import exact_dedup, secret_scan, shards
+from riskgraph.llm import decontaminate, exact_dedup, secret_scan, shards, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +37,16 @@ FROM rows WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LA
 """
 
 
+@register
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(_documents(spark, folder))
+
+
+@register
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 @register
 def op8_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.byte_shards(_documents(spark, folder), 16)

@@ -33,7 +33,7 @@ KINDS = ("assign", "access", "hex", "random")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 MIN_RUN, MIN_RATIO, MIN_MEAN, SAMPLE = 16, 12.0, 0.6, 2000
-PRIOR = 10.0  # pseudo-counts of the single-character model behind each row of transitions
+PRIOR = 200.0  # pseudo-counts of the character frequencies behind each row; rare contexts, also of stray secrets, stay near them
 RUN = r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN
 WORD = r"[A-Za-z0-9+/_=-]{6,}"
 
