@@ -66,3 +66,62 @@ def runs(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = BAT
         sizes = np.nan_to_num(np.asarray(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=float))
         for lo, hi in slices(sizes.astype(np.int64), limit):
             yield batch.slice(lo, hi - lo)
+
+
+def labelled_texts(
+    docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col: str = "doc_id", text_col: str = "text",
+) -> tuple[list[tuple[str, int]], float]:
+    """(text, 0 or 1) of about ``per_class`` training documents of each class, chosen by a hash of the id; log odds of 1
+    among all labelled training documents.
+
+    Rows kept from training, NULL ids and labels other than 0 and 1 are left out; of several labels of one document
+    the largest counts. The sample is bounded, so it is sent to the documents, which do not move.
+    """
+    known = labels.where(F.col(id_col).isNotNull() & ~held_out(id_col) & F.col(label).isin(0, 1)).groupBy(F.col(id_col).alias("_id")).agg(
+        F.max(label).cast("int").alias("_label"))
+    counts = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
+    shares = [int(min(1.0, per_class / max(1, counts.get(c, 0))) * (1 << 30)) for c in (0, 1)]
+    part = F.pmod(F.xxhash64("_id", F.lit(label)), F.lit(1 << 30))
+    some = cut(known.where(part < F.when(F.col("_label") == 1, F.lit(shares[1])).otherwise(F.lit(shares[0]))))
+    texts = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
+    sample = {(r["_text"], r["_label"]) for r in texts.join(F.broadcast(some), "_id").select("_text", "_label").collect()}
+    return sorted(sample), float(np.log(counts.get(1, 0) + 0.5) - np.log(counts.get(0, 0) + 0.5))
+
+
+def fit_logistic(features: np.ndarray, labels: np.ndarray, odds: float | None = None, penalty: float = 1.0, rounds: int = 50) -> np.ndarray:
+    """Weights (the last one a constant) of a ridge logistic regression, by Newton steps; for a sample balanced by
+    class, ``odds`` moves the constant to the log odds among all rows.
+    """
+    x = np.column_stack([features, np.ones(len(features))])
+    ridge = penalty * np.eye(x.shape[1])
+    ridge[-1, -1] = 1e-6
+    w = np.zeros(x.shape[1])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (labels - p) - ridge @ w)
+        w += step
+        if np.abs(step).max() < 1e-8:
+            break
+    if odds is not None:
+        w[-1] += odds - np.log(labels.sum() / (1 - labels).sum())
+    return w
+
+
+def logistic(features: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(features @ weights[:-1] + weights[-1], -30, 30)))
+
+
+def score_texts(docs: DataFrame, scorer, threshold: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, held_out, score, predicted of every row; ``scorer`` (sent to all tasks) maps texts to scores."""
+    shared = docs.sparkSession.sparkContext.broadcast(scorer)
+    rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), text_of(text_col).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in runs(batches):
+            scores = np.asarray(shared.value(batch.column("text").to_pylist()), dtype=float)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
+                ["doc_id", "held_out", "score", "predicted"])
+
+    return rows.mapInArrow(score, f"doc_id {kind}, held_out boolean, score double, predicted int")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskgraph.llm import decontaminate, exact_dedup, secret_scan, shards, simhash
+from riskgraph.llm import decontaminate, exact_dedup, language, quality, secret_scan, shards, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +37,20 @@ FROM rows WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LA
 """
 
 
+def _labels(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/labels.parquet")
+
+
+@register
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(_documents(spark, folder), _labels(spark, folder))
+
+
+@register
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score(_documents(spark, folder), _labels(spark, folder))
+
+
 @register
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(_documents(spark, folder))
@@ -52,6 +66,12 @@ def op8_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.byte_shards(_documents(spark, folder), 16)
 
 
+@register
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    return language.identify(docs, language.train(docs))
+
+
 @register
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.find_secrets(_documents(spark, folder))
