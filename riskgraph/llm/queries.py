@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskgraph.llm import decontaminate, exact_dedup, language, quality, secret_scan, shards, simhash, toxicity
+from riskgraph.llm import decontaminate, exact_dedup, language, pieces, quality, secret_scan, shards, simhash, toxicity
+
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +39,11 @@ FROM rows WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LA
 """
 
 
+@register
+def op2_sentencepiece(spark: SparkSession, folder: str, model: str = PIECE_MODEL) -> DataFrame:
+    return pieces.encode(_documents(spark, folder), pieces.load(model))
+
+
 def _labels(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/labels.parquet")
 
