@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskgraph.llm import decontaminate, exact_dedup, language, pieces, quality, secret_scan, shards, simhash, toxicity
+from riskgraph.llm import decontaminate, exact_dedup, language, line_dedup, pieces, quality, secret_scan, shards, simhash, toxicity
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -68,6 +68,11 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
 
+@register
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_classes(_documents(spark, folder))
+
+
 @register
 def op8_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.byte_shards(_documents(spark, folder), 16)
