@@ -28,7 +28,8 @@ def text_of(col: Column) -> Column:
 
 
 def to_double(col: Column) -> Column:
-    return col.try_cast("double")
+    """Numeric text as a double; NaN and junk are NULL."""
+    return F.nanvl(col.try_cast("double"), F.lit(None))
 
 
 def to_int(col: Column) -> Column:

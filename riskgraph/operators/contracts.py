@@ -110,14 +110,21 @@ class Evaluated:
         return self
 
 
-def evaluate(standardised: DataFrame, contract: Contract, run_id: str, run_ts: str) -> Evaluated:
-    """Evaluate every rule once per row. Only a uniqueness rule shuffles."""
+def evaluate(standardised: DataFrame, contract: Contract, run_id: str, run_ts: str, seen: DataFrame | None = None) -> Evaluated:
+    """Evaluate every rule once per row. Only a uniqueness rule shuffles.
+
+    ``seen`` holds the keys (one column, distinct) of earlier runs: a row that repeats one of them is not unique.
+    """
     columns = tuple(standardised.columns)
     flags = [rule.holds() for rule in contract.rules]
     frame = standardised
     if contract.unique:
         rest = [c for c in columns if c != contract.key]
         frame = first_of_key(frame, [contract.key], rest, "_first")
+        if seen is not None:
+            earlier = seen.select(F.col(contract.key).alias("_earlier"), F.lit(True).alias("_known"))
+            frame = frame.join(earlier, F.col(contract.key).eqNullSafe(F.col("_earlier")), "left")
+            frame = frame.withColumn("_first", F.col("_first") & F.col("_known").isNull())
         flags.append(F.col("_first"))
     return Evaluated(frame.select(*columns, F.array(*flags).alias("_ok")), contract, columns, run_id, run_ts)
 

@@ -7,26 +7,23 @@ from pyspark.sql import functions as F
 
 from riskgraph import vocabulary as V
 from riskgraph.operators.joins import lookup_join
-from riskgraph.operators.lineage import cut
 from riskgraph.operators.triples import TRIPLE_COLUMNS
 
 
-def closure(pairs: DataFrame, max_depth: int = 64) -> DataFrame:
-    """Transitive closure of ``(child, parent)`` edges; cycles end it like any other repeated pair.
+def closure(pairs: DataFrame) -> DataFrame:
+    """Transitive closure of ``(child, parent)`` edges of a schema, as one recursive query.
 
-    Path doubling: each step joins the reached pairs with themselves, so depth d needs log2(d) steps.
+    A path does not come back to a node it has been at, which ends cycles. A hierarchy deeper than 1,000 raises.
     """
-    reached = cut(pairs.select("child", "parent").distinct())
-    size = reached.count()
-    for _ in range(max_depth):
-        onward = reached.select(F.col("child").alias("parent"), F.col("parent").alias("far"))
-        longer = lookup_join(reached, onward, "parent").select("child", F.col("far").alias("parent"))
-        grown = cut(reached.unionByName(longer).distinct())
-        grown_size = grown.count()
-        if grown_size == size:
-            return grown
-        reached, size = grown, grown_size
-    return reached
+    return pairs.sparkSession.sql(
+        """
+        WITH RECURSIVE reached(child, parent, path) MAX RECURSION LEVEL 1000 AS (
+          SELECT child, parent, array(parent) FROM (SELECT DISTINCT child, parent FROM {edges})
+          UNION ALL
+          SELECT r.child, e.parent, r.path || array(e.parent)
+          FROM reached r JOIN {edges} e ON r.parent = e.child WHERE NOT array_contains(r.path, e.parent))
+        SELECT DISTINCT child, parent FROM reached
+        """, edges=pairs)
 
 
 def schema_edges(graph: DataFrame, relation: str) -> DataFrame:
@@ -50,24 +47,34 @@ def inferred_triples(graph: DataFrame, schema: DataFrame | None = None, skip_sub
     """New distinct triples of one entailment pass.
 
     ``schema`` holds the hierarchies; pass it when it is known apart from the data, so that the closure does not
-    scan the whole graph. Only triples that carry an entailing predicate or class reach a shuffle, and the
-    anti-join reads just the asserted triples an inference could repeat.
+    scan the whole graph. The graph is read once: each triple yields what it entails, and itself where an inference
+    could repeat it; only those reach the one shuffle.
     """
     axioms = graph if schema is None else schema
     properties = closure(schema_edges(axioms, V.RDFS_SUBPROPERTY))
-    derived = subproperty_triples(graph, properties)
-    targets = properties.select(F.col("parent").alias("p")).distinct()
-    asserted = lookup_join(graph, targets, "p", "left_semi").select(*TRIPLE_COLUMNS)
+    heirs = _parents(properties).select(F.col("child").alias("p"), F.col("parents").alias("_above"))
+    below = properties.select(F.col("parent").alias("p")).distinct().withColumn("_head", F.lit(True))
+    marked = lookup_join(lookup_join(graph, heirs, "p", "left"), below, "p", "left")
+    again = F.transform(F.coalesce("_above", F.array()), lambda q: F.struct(q.alias("p"), F.col("o").alias("o"), F.lit(True).alias("_new")))
+    known = F.col("_head").isNotNull()
     if not skip_subclass:
         classes = closure(schema_edges(axioms, V.RDFS_SUBCLASS))
-        derived = derived.unionByName(subclass_triples(graph, classes))
-        heads = classes.select(F.col("parent").alias("o")).distinct()
-        typed = graph.where(F.col("p") == V.RDF_TYPE)
-        asserted = asserted.unionByName(lookup_join(typed, heads, "o", "left_semi").select(*TRIPLE_COLUMNS))
-    # A set difference on the whole triple, with an absent datatype made comparable.
-    fresh = derived.dropDuplicates(list(TRIPLE_COLUMNS)).withColumn("_type", F.coalesce("o_type", F.lit("")))
-    known = asserted.select("s", "p", "o", "o_kind", F.coalesce("o_type", F.lit("")).alias("_type"))
-    return fresh.join(known, ["s", "p", "o", "o_kind", "_type"], "left_anti").select(*TRIPLE_COLUMNS)
+        typed = (F.col("p") == V.RDF_TYPE) & (F.col("o_kind") == "iri")
+        kinds = _parents(classes).select(F.col("child").alias("o"), F.col("parents").alias("_kinds"))
+        tops = classes.select(F.col("parent").alias("o")).distinct().withColumn("_top", F.lit(True))
+        marked = lookup_join(lookup_join(marked, kinds, "o", "left"), tops, "o", "left")
+        broader = F.when(typed, F.col("_kinds"))
+        again = F.concat(again, F.transform(F.coalesce(broader, F.array()), lambda d: F.struct(F.col("p").alias("p"), d.alias("o"), F.lit(True).alias("_new"))))
+        known |= (F.col("p") == V.RDF_TYPE) & F.col("_top").isNotNull()
+    own = F.when(known, F.array(F.struct(F.col("p").alias("p"), F.col("o").alias("o"), F.lit(False).alias("_new")))).otherwise(F.array())
+    each = marked.select("s", "o_kind", "o_type", F.explode(F.concat(own, again)).alias("t"))
+    triples = each.select("s", F.col("t.p").alias("p"), F.col("t.o").alias("o"), "o_kind", "o_type", F.col("t._new").alias("_new"))
+    # One shuffle: a triple is new if it is derived and nowhere asserted.
+    return triples.groupBy(*TRIPLE_COLUMNS).agg(F.every("_new").alias("_fresh")).where("_fresh").select(*TRIPLE_COLUMNS)
+
+
+def _parents(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("child").agg(F.collect_set("parent").alias("parents"))
 
 
 def materialise(graph: DataFrame, schema: DataFrame | None = None, skip_subclass: bool = False) -> DataFrame:

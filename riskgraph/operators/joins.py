@@ -1,33 +1,13 @@
-"""Joins against lookup tables that are small by nature but whose size is not proven.
+"""Joins against lookup tables.
 
-``lookup_join`` counts the lookup side up to a bound. Within the bound the join is a broadcast and the large
-side never moves. Beyond it the large side is salted by its own partition id and the lookup side is repeated
-once per salt, so that a key holding a third of all rows is spread over ``salts`` tasks. Both ways are exact.
+The planner knows the bytes of stored lookups, adaptive execution those of computed ones: small sides are broadcast,
+large ones are shuffled and their skewed keys split. There is no row count and no switch here.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-SALTS = 64
 
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than one row past the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_join(
-    large: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "inner", max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"lookup_join cannot repeat the right side of a {how} join")
-    if fits(lookup, max_rows):
-        return large.join(F.broadcast(lookup), on, how)
-    keys = [on] if isinstance(on, str) else list(on)
-    salted = large.withColumn("_salt", F.spark_partition_id() % F.lit(salts))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+def lookup_join(large: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    return large.join(lookup, on, how)

@@ -6,29 +6,45 @@ loss of executors, later readers prune its columns, and its size is known to the
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_fallback: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The configured folder; a local one only where none is set, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    app = spark.sparkContext.applicationId
-    if app not in _fallback:
-        _fallback[app] = tempfile.mkdtemp(prefix="riskgraph-cut-")
-    return _fallback[app]
+    """The configured folder; where none is set, one in the warehouse, which every node reaches too."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_cuts"
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder, removed with the tables of this application."""
+    _owned.add(spark.sparkContext.applicationId)
+    return f"{shared_folder(spark)}/riskgraph/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+_owned: set[str] = set()
+
+
+def release(spark: SparkSession) -> None:
+    """Remove every table this application has cut. Frames that read one of them cannot be used any more."""
+    jvm, app = spark.sparkContext._jvm, spark.sparkContext.applicationId
+    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/riskgraph/{app}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    _owned.discard(app)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession() if _owned else None
+    if spark is not None and spark.sparkContext.applicationId in _owned:
+        release(spark)
 
 
 def cut(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back; with ``partition_by``, one folder per value of that column."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/riskgraph/{uuid.uuid4().hex}"
+    path = scratch(spark, "cut")
     if partition_by:
         df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
     else:

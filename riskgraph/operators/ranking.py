@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,16 +16,20 @@ from riskgraph.operators.lineage import cut
 def first_of_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str) -> DataFrame:
     """Flag exactly one row per key: the first in ``order`` (NULLs first); the rows of NULL keys form one key.
 
-    Round one ranks within (key, input partition): a group is never larger than the input split that holds it.
-    Round two ranks only the winners of a key, at most one per input partition; the losers keep their own groups.
+    Keys are counted first (pre-aggregated, keys only); rows of a key that occurs once are first and never move. The
+    others are ranked in two rounds: within (key, input partition), where a group is never larger than the input split
+    that holds it, and then among the winners of a key, at most one per input partition.
     ``spark_partition_id`` is a function of the upstream partitioning, so a recomputed task salts alike.
     """
     by = [F.col(c).asc_nulls_first() for c in order]
-    split = df.withColumn("_part", F.spark_partition_id())
+    repeated = cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*[F.col(k).alias(f"_key_{k}") for k in keys]))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    single = df.join(repeated, same, "left_anti").withColumn(flag, F.lit(True))
+    split = df.join(repeated, same, "left_semi").withColumn("_part", F.spark_partition_id())
     local = split.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*by)))
     heat = local.withColumn("_heat", F.when(F.col("_rn") == 1, F.lit(-1)).otherwise(F.col("_part")))
     final = F.row_number().over(Window.partitionBy(*keys, "_heat").orderBy(*by))
-    return heat.withColumn(flag, (F.col("_rn") == 1) & (final == 1)).drop("_part", "_rn", "_heat")
+    return single.unionByName(heat.withColumn(flag, (F.col("_rn") == 1) & (final == 1)).drop("_part", "_rn", "_heat"))
 
 
 def ordinal_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
@@ -68,10 +73,35 @@ def hash_rank(
         *group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"), F.sum("_n").over(stratum).alias(size)
     )
     local = hashed.withColumn("_rn", F.row_number().over(Window.partitionBy(*group).orderBy("_md5")))
-    joined = lookup_join(local, offsets, group, max_rows=1_000_000)
+    joined = lookup_join(local, offsets, group)
     return joined.select(*df.columns, (F.col("_rn") + F.col("_offset")).alias(rank), F.col(size))
 
 
+def hash_first(
+    df: DataFrame, strata: Sequence[str], identity: Column, seed: int, quota: Column, flag: str, hex_digits: int = 4,
+) -> DataFrame:
+    """Flag the first ``quota`` rows of each stratum in the order of ``hash_rank``; ``quota`` may use ``_size``. Exact.
+
+    Buckets below a stratum's quota are in and buckets above it are out by their counts alone. Only the rows of the one
+    bucket that holds the quota are ranked; all other rows stay where they are.
+    """
+    key = F.to_json(F.struct(*strata)) if strata else F.lit("")
+    hashed = df.select("*", key.alias("_stratum"), F.md5(F.concat(identity.cast("string"), F.lit(f"|{seed}"))).alias("_md5"))
+    hashed = hashed.withColumn("_bucket", F.substring("_md5", 1, hex_digits))
+    counts = hashed.groupBy("_stratum", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    stratum = Window.partitionBy("_stratum")
+    placed = counts.select("*", F.sum("_n").over(stratum.orderBy("_bucket")).alias("_upto"), F.sum("_n").over(stratum).alias("_size"))
+    marked = placed.withColumn("_quota", quota).where(F.col("_upto") > F.col("_quota"))
+    first = F.min(F.struct("_bucket", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_left")))
+    cuts = cut(marked.groupBy("_stratum").agg(first.alias("_cut")))  # strata without one are in as a whole
+    rows = hashed.join(cuts, "_stratum", "left")
+    border = F.col("_bucket") == F.col("_cut._bucket")
+    sure = rows.where(~F.coalesce(border, F.lit(False))).withColumn(flag, F.coalesce(F.col("_bucket") < F.col("_cut._bucket"), F.lit(True)))
+    rank = F.row_number().over(Window.partitionBy("_stratum").orderBy("_md5"))
+    open_ = rows.where(border).withColumn(flag, rank <= F.col("_cut._left"))
+    return sure.unionByName(open_).select(*df.columns, flag)
+
+
 def running_sums(
     df: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (), buckets: int = 256
 ) -> DataFrame:

@@ -36,8 +36,9 @@ def link(s: Column, p: str, o: Column) -> Triple:
 
 
 def literal(s: Column, p: str, value: Column, xsd: str | None = None) -> Triple:
-    """A literal triple; a plain label has no datatype."""
-    return Triple(s, p, value.cast("string"), "literal", V.XSD + xsd if xsd else None)
+    """A literal triple; a plain label has no datatype. A NaN is no value, like NULL."""
+    text = value.cast("string")
+    return Triple(s, p, F.nullif(text, F.lit("NaN")) if xsd == "double" else text, "literal", V.XSD + xsd if xsd else None)
 
 
 def emit(df: DataFrame, templates: Sequence[Triple], only: Collection[str] | None = None) -> DataFrame:
@@ -248,11 +249,16 @@ def full_graph(
     return shared.unionByName(measurement_triples(measurements)).unionByName(record_triples(records))
 
 
-def manifest_counts(records: DataFrame, measurements: DataFrame, graph: DataFrame) -> DataFrame:
-    """Rows, record nodes, measurements, triples and datasets as one row of single-pass counts."""
-    is_record = (F.col("p") == V.RDF_TYPE) & (F.col("o") == hr("HealthRecord"))
+def manifest_counts(records: DataFrame, measurements: DataFrame, graph: DataFrame, groups: bool = False) -> DataFrame:
+    """Rows, record nodes, measurements, triples and datasets as one row of single-pass counts.
+
+    With ``groups`` the validation counts of record and group nodes come from the same pass over the graph.
+    """
+    typed = F.col("p") == V.RDF_TYPE
+    is_record, is_group = typed & (F.col("o") == hr("HealthRecord")), typed & (F.col("o") == hr("PopulationGroup"))
     from_graph = graph.agg(
-        F.count(F.lit(1)).alias("triples"), F.count_if(is_record).alias("health_record_resources")
+        F.count(F.lit(1)).alias("triples"), F.count_if(is_record).alias("health_record_resources"),
+        F.count_if(is_record).alias("health_record_count"), F.count_if(is_group).alias("population_group_count")
     )
     per_source = records.groupBy("source_dataset").agg(F.count(F.lit(1)).alias("n"))
     from_rows = per_source.agg(
@@ -261,8 +267,9 @@ def manifest_counts(records: DataFrame, measurements: DataFrame, graph: DataFram
     from_cells = measurements.agg(F.count(F.lit(1)).alias("aggregate_measurements"))
     keyed = [d.withColumn("_one", F.lit(1)) for d in (from_rows, from_graph, from_cells)]
     joined = keyed[0].join(keyed[1], "_one").join(keyed[2], "_one")
+    checks = ("health_record_count", "population_group_count") if groups else ()
     return joined.select(
-        "trusted_rows_processed", "health_record_resources", "aggregate_measurements", "triples", "datasets"
+        "trusted_rows_processed", "health_record_resources", "aggregate_measurements", "triples", "datasets", *checks
     )
 
 

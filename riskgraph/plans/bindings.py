@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskgraph import vocabulary as V
@@ -92,6 +92,19 @@ def events_from(events: DataFrame) -> DataFrame:
     )
 
 
+def lineitem_from(lines: DataFrame, key: Column) -> DataFrame:
+    """Row-local standardisation of order lines under the given record key, for batch and stream alike."""
+    return lines.select(
+        key.alias("record_key"),
+        F.floor(F.col("l_quantity") * 2).try_cast("int").alias("age_years"),
+        st.parse_gender(F.col("l_linestatus"), ("f",), ("o",)).alias("gender"),
+        (F.col("l_quantity") * 4 + 60).alias("resting_bp"),
+        (F.col("l_discount") >= 0.05).alias("high_discount"),
+        (F.col("l_tax") >= 0.04).alias("high_tax"),
+        (F.col("l_returnflag") == "R").alias("has_condition"),
+    ).withColumn("age_group_code", st.age_band_of_years(F.col("age_years")))
+
+
 @dataclass(frozen=True)
 class Tables:
     """One folder of Parquet tables. Every property is a lazy plan over whole tables."""
@@ -120,15 +133,8 @@ class Tables:
 
     @cached_property
     def lineitem_standard(self) -> DataFrame:
-        return self.read("lineitem").select(
-            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("record_key"),
-            F.floor(F.col("l_quantity") * 2).try_cast("int").alias("age_years"),
-            st.parse_gender(F.col("l_linestatus"), ("f",), ("o",)).alias("gender"),
-            (F.col("l_quantity") * 4 + 60).alias("resting_bp"),
-            (F.col("l_discount") >= 0.05).alias("high_discount"),
-            (F.col("l_tax") >= 0.04).alias("high_tax"),
-            (F.col("l_returnflag") == "R").alias("has_condition"),
-        ).withColumn("age_group_code", st.age_band_of_years(F.col("age_years")))
+        key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+        return lineitem_from(self.read("lineitem"), key)
 
     @cached_property
     def events_standard(self) -> DataFrame:

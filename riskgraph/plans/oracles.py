@@ -652,3 +652,10 @@ SQL["io_ntriples_roundtrip"] = " UNION ALL ".join([
     lit_t(_DOC, q(V.RDFS_COMMENT), "text", "NULL", "FROM documents"),
     lit_t(_DOC, h("observationCount"), "CAST(n_chars AS VARCHAR)", INT, "FROM documents"), iri_t(_DOC, TYPE, h("Dataset"), "FROM documents")])
 SQL["st_ingest_contract"] = base("SELECT rule_name, total_rows, violations FROM quality WHERE dataset = 'events'")
+SQL["st_ingest_unique"] = "\nUNION ALL\n".join(
+    f"""SELECT '{name}' AS rule_name, count(*) AS total_rows, count(*) FILTER (WHERE NOT coalesce({sql}, false)) AS violations FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS rn FROM (
+    SELECT l_orderkey, l_linenumber, CAST(l_orderkey AS VARCHAR) AS record_key, CAST(floor(l_quantity * 2) AS INTEGER) AS age_years,
+      CASE l_linestatus WHEN 'F' THEN 'female' WHEN 'O' THEN 'male' END AS gender, l_quantity * 4 + 60 AS resting_bp,
+      l_returnflag = 'R' AS has_condition, {band_of('CAST(floor(l_quantity * 2) AS INTEGER)')} AS age_group_code FROM lineitem))"""
+    for name, _, sql in RULES["lineitem"])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -16,8 +15,8 @@ from riskgraph.operators import (
     comparison, contracts, embedding, entailment, features, formatting, harmonise, metrics, models, patterns, sampling,
     triples,
 )
-from riskgraph.operators.lineage import cut
-from riskgraph.plans.bindings import EVENTS_CONTRACT, RUN_ID, RUN_TS, Tables, events_from
+from riskgraph.operators.lineage import cut, scratch
+from riskgraph.plans.bindings import EVENTS_CONTRACT, LINEITEM_CONTRACT, RUN_ID, RUN_TS, Tables, events_from, lineitem_from
 from riskgraph.sources import ntriples, snapshots
 from riskgraph.streaming.ingest import ingest_new_files
 
@@ -337,9 +336,7 @@ def kg_inferred_count(t: Tables) -> DataFrame:
 
 @register
 def kg_validation(t: Tables) -> DataFrame:
-    graph = cut(t.full)  # counted twice
-    counts = triples.manifest_counts(t.zone.canonical, t.zone.measurements, graph).withColumn("_one", F.lit(1))
-    return counts.join(triples.validation_counts(graph).withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return triples.manifest_counts(t.zone.canonical, t.zone.measurements, t.full, groups=True)
 
 
 # ---- patterns --------------------------------------------------------------------------------------------
@@ -685,8 +682,7 @@ def ml_importance(t: Tables) -> DataFrame:
 
 # ---- sources, sinks, streams --------------------------------------------------------------------------------
 def _scratch(t: Tables) -> str:
-    return tempfile.mkdtemp(prefix="riskgraph-io-") if t.spark.conf.get("spark.checkpoint.dir", None) is None \
-        else f"{t.spark.conf.get('spark.checkpoint.dir')}/riskgraph/io-{t.spark.sparkContext.applicationId}-{id(t)}"
+    return scratch(t.spark, "io")
 
 
 @register
@@ -715,6 +711,20 @@ def io_ntriples_roundtrip(t: Tables) -> DataFrame:
     return ntriples.read_ntriples(t.spark, path)
 
 
+@register
+def st_ingest_unique(t: Tables) -> DataFrame:
+    """Lines keyed by their order, in several files taken two at a time: uniqueness holds over all batches."""
+    root = _scratch(t)
+    lines = t.read("lineitem")
+    lines.repartition(5).write.parquet(f"{root}/incoming")
+    keyed = lambda df: lineitem_from(df, F.col("l_orderkey").cast("string"))
+    run = ingest_new_files(
+        t.spark, f"{root}/incoming", "parquet", lines.schema, keyed, LINEITEM_CONTRACT, f"{root}/out", f"{root}/state", RUN_ID, RUN_TS, max_files=2)
+    run.awaitTermination()
+    found = t.spark.read.parquet(f"{root}/out/metrics").where(F.col("rule_name") != contracts.TOTAL_RULE)
+    return found.groupBy("rule_name").agg(F.sum("total_rows").alias("total_rows"), F.sum("violations").alias("violations"))
+
+
 @register
 def st_ingest_contract(t: Tables) -> DataFrame:
     """The events contract over a file stream; the metrics table it leaves behind."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,15 +14,37 @@ from pyspark.sql.streaming.query import StreamingQuery
 from riskgraph.operators.contracts import Contract, evaluate
 
 
+def _seen_keys(spark: SparkSession, folder: str, key: T.StructField, batch_id: int) -> DataFrame:
+    """Keys of all rows of earlier batches, clean or not."""
+    schema = T.StructType([key, T.StructField("batch_id", T.LongType())])
+    try:
+        keys = spark.read.schema(schema).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema).select(key.name)
+    return keys.where(F.col("batch_id") < batch_id).select(key.name).distinct()
+
+
 def _write_batch(
     batch: DataFrame, batch_id: int, standardise: Callable[[DataFrame], DataFrame], contract: Contract, out: str,
     run_id: str, run_ts: str,
 ) -> None:
-    """Clean rows, quarantine and metrics of one micro-batch, keyed by batch id so that a replay overwrites itself."""
-    checked = evaluate(standardise(batch), contract, run_id, run_ts).persist()
+    """Clean rows, quarantine, metrics and keys of one micro-batch, keyed by batch id so that a replay overwrites itself.
+
+    A uniqueness rule holds over all batches and runs of one ``out``: the first row of the batch in which a key first
+    came is unique, every later row repeats it, however the files fall into batches.
+    """
+    rows = standardise(batch)
+    keys = f"{out}/keys"
+    seen = _seen_keys(batch.sparkSession, keys, rows.schema[contract.key], batch_id) if contract.unique else None
+    checked = evaluate(rows, contract, run_id, run_ts, seen).persist()
+    outputs = {"clean": checked.clean(), "quarantine": checked.quarantine(), "metrics": checked.metrics()}
+    if contract.unique:
+        outputs["keys"] = checked.frame.select(contract.key).distinct()
     try:
-        for name, df in (("clean", checked.clean()), ("quarantine", checked.quarantine()), ("metrics", checked.metrics())):
-            df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
+        for name, df in outputs.items():
+            df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").option(
                 "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out}/{name}")
     finally:
         checked.frame.unpersist()
@@ -29,14 +52,16 @@ def _write_batch(
 
 def ingest_new_files(
     spark: SparkSession, source: str, file_format: str, schema: T.StructType, standardise: Callable[[DataFrame], DataFrame],
-    contract: Contract, out: str, checkpoint: str, run_id: str, run_ts: str, max_files: int = 1000,
+    contract: Contract, out: str, checkpoint: str, run_id: str, run_ts: str, max_files: int | None = None,
 ) -> StreamingQuery:
     """Process every file that arrived since the last run and stop (``availableNow``).
 
-    The checkpoint remembers the files, so a scheduled call never reads one twice. A uniqueness rule holds within
-    one micro-batch; rows that repeat a key of an earlier batch are not compared with it.
+    The checkpoint remembers the files, so a scheduled call never reads one twice. ``max_files`` only sizes the
+    micro-batches; without it one batch takes all that is new.
     """
-    stream = spark.readStream.format(file_format).schema(schema).option("maxFilesPerTrigger", max_files)
+    stream = spark.readStream.format(file_format).schema(schema)
+    if max_files is not None:
+        stream = stream.option("maxFilesPerTrigger", max_files)
     if file_format == "csv":
         stream = stream.options(header=True, nullValue="", mode="PERMISSIVE")
     sink = partial(_write_batch, standardise=standardise, contract=contract, out=out, run_id=run_id, run_ts=run_ts)
