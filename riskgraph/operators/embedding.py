@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,14 +15,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph import vocabulary as V
+from riskgraph.functions import vectors
 from riskgraph.functions.vectors import rounded
 from riskgraph.operators.joins import lookup_join
 from riskgraph.operators.lineage import cut
-from riskgraph.operators.ranking import hash_rank
+from riskgraph.operators.ranking import hash_first, hash_rank
 from riskgraph.operators.triples import hr
 
 OUTCOME = hr(f"indicator/{V.OUTCOME_INDICATOR}")
 NODE_VEC = "node string, vec array<double>"
+MARGIN, TIE = 1.0, 1e-9
 
 
 def held_out_nodes(graph: DataFrame, outcome: str = OUTCOME) -> DataFrame:
@@ -153,112 +156,136 @@ def _initial_vectors(names: DataFrame, dim: int, seed: int) -> DataFrame:
     return names.select("node", start.alias("vec"))
 
 
-def _gradients(model: str, h: np.ndarray, r: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Score of each triple and its derivatives by head, relation and tail."""
+def _product(*arrays: Column) -> Column:
+    return reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x * y), arrays)
+
+
+def _plus(a: Column, b: Column, sign: float = 1.0) -> Column:
+    return F.zip_with(a, b, lambda x, y: x + y * sign)
+
+
+def _total(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def _score(model: str, h: Column, r: Column, t: Column) -> Column:
     if model == "DistMult":
-        return (h * r * t).sum(1), r * t, h * t, h * r
-    gap = h + r - t
-    norm = np.sqrt((gap**2).sum(1, keepdims=True)) + 1e-9
-    unit = gap / norm
-    return -norm[:, 0], -unit, -unit, unit
-
-
-def _train_shard(
-    shard: pd.DataFrame, model: str, epochs: int, batch: int, rate: float, seed: int, margin: float = 1.0
-) -> pd.DataFrame:
-    """Margin-ranking epochs with Adam over one bounded shard; corrupted ends come from the shard's own nodes."""
-    nodes, ends = np.unique(np.concatenate([shard["s"].to_numpy(), shard["o"].to_numpy()]), return_inverse=True)
-    relations, rel = np.unique(shard["p"].to_numpy(), return_inverse=True)
-    head, tail = ends[: len(shard)], ends[len(shard):]
-    dim = len(shard["hv"].iloc[0])
-    table = np.zeros((len(nodes) + len(relations), dim))
-    for index, column in ((head, "hv"), (tail, "tv"), (len(nodes) + rel, "rv")):
-        table[index] = np.stack(shard[column].to_numpy())
-    first, second = np.zeros_like(table), np.zeros_like(table)
-    rng = np.random.default_rng(seed + int(shard["shard"].iloc[0]))
-    clock = 0
-    for _ in range(epochs):
-        shuffled = rng.permutation(len(shard))
-        for start in range(0, len(shard), batch):
-            rows = shuffled[start:start + batch]
-            h, r, t = head[rows], len(nodes) + rel[rows], tail[rows]
-            swap = rng.random(len(rows)) < 0.5
-            fake = rng.integers(0, len(nodes), len(rows))
-            nh, nt = np.where(swap, fake, h), np.where(swap, t, fake)
-            good, gh, gr, gt = _gradients(model, table[h], table[r], table[t])
-            bad, bh, br, bt = _gradients(model, table[nh], table[r], table[nt])
-            active = (margin - good + bad > 0).astype(float)[:, None] / len(rows)
-            clock += 1
-            touched, place = np.unique(np.concatenate([h, r, t, nh, r, nt]), return_inverse=True)
-            step = np.zeros((len(touched), dim))
-            np.add.at(step, place, np.concatenate([-gh, -gr, -gt, bh, br, bt]) * np.tile(active, (6, 1)))
-            first[touched] = 0.9 * first[touched] + 0.1 * step
-            second[touched] = 0.999 * second[touched] + 0.001 * step**2
-            move = (first[touched] / (1 - 0.9**clock)) / (np.sqrt(second[touched] / (1 - 0.999**clock)) + 1e-8)
-            table[touched] -= rate * move
-            ents = touched[touched < len(nodes)]
-            table[ents] /= np.maximum(np.linalg.norm(table[ents], axis=1, keepdims=True), 1.0)
-    weights = np.concatenate([np.bincount(ends, minlength=len(nodes)), np.bincount(rel, minlength=len(relations))])
-    kinds = ["entity"] * len(nodes) + ["relation"] * len(relations)
-    return pd.DataFrame({
-        "kind": kinds, "node": np.concatenate([nodes, relations]), "vec": list(table), "weight": weights.astype(float)
-    })
-
-
-def _shard_trainer(model: str, epochs: int, batch: int, rate: float, seed: int):
-    """Trainer of one shard in a fixed row order, so that a repeated task trains alike."""
-    def fit(part: pd.DataFrame) -> pd.DataFrame:
-        ordered = part.sort_values(["s", "p", "o"], kind="stable").reset_index(drop=True)
-        return _train_shard(ordered, model, epochs, batch, rate, seed)
-
-    return fit
+        return _total(_product(h, r, t))
+    gap = _plus(_plus(h, r), t, -1.0)
+    return -F.sqrt(_total(_product(gap, gap)))
+
+
+def _slopes(model: str, h: Column, r: Column, t: Column) -> tuple[Column, Column, Column]:
+    """Derivatives of the score by head, relation and tail."""
+    if model == "DistMult":
+        return _product(r, t), _product(h, t), _product(h, r)
+    gap = _plus(_plus(h, r), t, -1.0)
+    norm = F.sqrt(_total(_product(gap, gap))) + 1e-9
+    unit = F.transform(gap, lambda x: x / norm)
+    minus = F.transform(unit, lambda x: -x)
+    return minus, minus, unit
+
+
+def _contrasted(triples: DataFrame, params: DataFrame, entities: int, model: str, seed: int) -> DataFrame:
+    """Each triple with a corrupted one: one end, by hash, is replaced by an entity drawn by hash from all of them."""
+    draw = F.pmod(F.xxhash64("s", "p", "o", F.lit(seed)), F.lit(entities))
+    side = F.pmod(F.xxhash64("s", "p", "o", F.lit(seed), F.lit("side")), F.lit(2)) == 0
+    nodes = params.where("kind = 'entity'")
+    rows = triples.select("s", "p", "o", draw.alias("place"), side.alias("swap"))
+    rows = rows.join(nodes.select(F.col("node").alias("s"), F.col("vec").alias("h")), "s")
+    rows = rows.join(params.where("kind = 'relation'").select(F.col("node").alias("p"), F.col("vec").alias("r")), "p")
+    rows = rows.join(nodes.select(F.col("node").alias("o"), F.col("vec").alias("t")), "o")
+    rows = rows.join(nodes.select("place", F.col("node").alias("fake"), F.col("vec").alias("f")), "place")
+    rows = rows.withColumns({"nh": F.when(F.col("swap"), F.col("f")).otherwise(F.col("h")), "nt": F.when(F.col("swap"), F.col("t")).otherwise(F.col("f"))})
+    good, bad = (_score(model, F.col(a), F.col("r"), F.col(b)) for a, b in (("h", "t"), ("nh", "nt")))
+    return rows.withColumn("loss", F.greatest(F.lit(0.0), F.lit(MARGIN) - good + bad))
+
+
+def _gradients(contrasted: DataFrame, model: str, dim: int) -> DataFrame:
+    """Summed gradient of each node and relation: (kind, node, g). One pre-aggregated shuffle by node."""
+    h, r, t, nh, nt = (F.col(c) for c in ("h", "r", "t", "nh", "nt"))
+    gh, gr, gt = _slopes(model, h, r, t)
+    bh, br, bt = _slopes(model, nh, r, nt)
+    minus = lambda a: F.transform(a, lambda x: -x)
+    entry = lambda kind, node, g: F.struct(F.lit(kind).alias("kind"), node.alias("node"), g.alias("g"))
+    entries = F.array(
+        entry("entity", F.col("s"), minus(gh)), entry("entity", F.col("o"), minus(gt)), entry("relation", F.col("p"), _plus(br, gr, -1.0)),
+        entry("entity", F.when(F.col("swap"), F.col("fake")).otherwise(F.col("s")), bh),
+        entry("entity", F.when(F.col("swap"), F.col("o")).otherwise(F.col("fake")), bt))
+    rows = contrasted.where("loss > 0").select(F.explode(entries).alias("x")).select("x.*")
+    return rows.groupBy("kind", "node").agg(F.array(*[F.sum(F.get("g", F.lit(k))) for k in range(dim)]).alias("g"))
+
+
+def _moved(params: DataFrame, gradients: DataFrame, rate: float, clock: int) -> DataFrame:
+    """One Adam step; nodes without a gradient keep their values, entity vectors stay within length one."""
+    rows = params.join(gradients, ["kind", "node"], "left")
+    first = F.zip_with("m", "g", lambda m, g: 0.9 * m + 0.1 * g)
+    second = F.zip_with("v", "g", lambda v, g: 0.999 * v + 0.001 * g * g)
+    known = F.col("g").isNotNull()
+    rows = rows.withColumns({"m": F.when(known, first).otherwise(F.col("m")), "v": F.when(known, second).otherwise(F.col("v"))})
+    step = F.zip_with("m", "v", lambda m, v: rate * (m / (1 - 0.9**clock)) / (F.sqrt(v / (1 - 0.999**clock)) + 1e-8))
+    rows = rows.withColumn("vec", F.when(known, _plus(F.col("vec"), step, -1.0)).otherwise(F.col("vec")))
+    length = F.greatest(F.lit(1.0), F.sqrt(_total(_product(F.col("vec"), F.col("vec")))))
+    short = F.when(F.col("kind") == "entity", F.transform("vec", lambda x: x / length)).otherwise(F.col("vec"))
+    return rows.select("kind", "node", "place", short.alias("vec"), "m", "v")
+
+
+def _start(triples: DataFrame, dim: int, seed: int) -> DataFrame:
+    """Initial parameters; entities are numbered from 0 so that one can be drawn by number."""
+    ends = triples.select(F.explode(F.array("s", "o")).alias("node")).distinct()
+    numbers = hash_rank(ends, [], F.col("node"), seed).select("node", (F.col("_rank") - 1).cast("long").alias("place"))
+    entities = _initial_vectors(ends, dim, seed).join(numbers, "node").select(F.lit("entity").alias("kind"), "node", "place", "vec")
+    relations = _initial_vectors(triples.select(F.col("p").alias("node")).distinct(), dim, seed + 1)
+    both = entities.unionByName(relations.select(F.lit("relation").alias("kind"), "node", F.lit(None).cast("long").alias("place"), "vec"))
+    return both.select("*", vectors.zeros(dim).alias("m"), vectors.zeros(dim).alias("v"))
 
 
 def train_translation_model(
-    train: DataFrame, model: str = "DistMult", dim: int = V.EMBEDDING_DIM, rounds: int = 6, epochs_per_round: int = 5,
-    batch: int = 256, rate: float = 0.01, shard_rows: int = 50_000, seed: int = V.SEED,
+    train: DataFrame, model: str = "DistMult", dim: int = V.EMBEDDING_DIM, rounds: int = 30, rate: float = 0.1, seed: int = V.SEED,
 ) -> tuple[DataFrame, DataFrame]:
     """Train TransE or DistMult on ``(s, p, o)``; returns entity and relation vectors.
 
-    Each round cuts the triples into bounded shards, attaches the current vectors by size-checked joins, trains
-    every shard on its own task and averages the shards' vectors per node, weighted by use. Parameters stay in
-    DataFrames, and each round ends in a checkpoint.
+    Each round takes every triple with a fresh corrupted one, sums the gradients of the margin loss per node and moves
+    all parameters by one Adam step. It is joins and one aggregate over arrays of the engine; the number of tasks
+    follows the data, negatives come from all entities, and every round ends in a table.
     """
     if model not in ("TransE", "DistMult"):
         raise ValueError(f"unknown model {model}")
     triples = cut(train.select("s", "p", "o").distinct())
-    shards = max(1, math.ceil(triples.count() / shard_rows))
-    ends = triples.select(F.explode(F.array("s", "o")).alias("node")).distinct()
-    entities = cut(_initial_vectors(ends, dim, seed))
-    relations = cut(_initial_vectors(triples.select(F.col("p").alias("node")).distinct(), dim, seed + 1))
-    for step in range(rounds):
-        shard = F.pmod(F.xxhash64("s", "p", "o", F.lit(seed + step)), F.lit(shards)).cast("int")
-        rows = triples.withColumn("shard", shard)
-        rows = lookup_join(rows, entities.select(F.col("node").alias("s"), F.col("vec").alias("hv")), "s")
-        rows = lookup_join(rows, relations.select(F.col("node").alias("p"), F.col("vec").alias("rv")), "p")
-        rows = lookup_join(rows, entities.select(F.col("node").alias("o"), F.col("vec").alias("tv")), "o")
-
-        fit = _shard_trainer(model, epochs_per_round, batch, rate, seed + 1000 * step)
-        trained = rows.groupBy("shard").applyInPandas(fit, f"kind string, {NODE_VEC}, weight double")
-        total = F.sum("weight")
-        mean = F.array(*[F.sum(F.col("weight") * F.get("vec", F.lit(k))) / total for k in range(dim)])
-        averaged = cut(trained.groupBy("kind", "node").agg(mean.alias("vec")))
-        entities = averaged.where(F.col("kind") == "entity").select("node", "vec")
-        relations = averaged.where(F.col("kind") == "relation").select("node", "vec")
-    return entities, relations
+    params = cut(_start(triples, dim, seed))
+    entities = params.where("kind = 'entity'").count()
+    for step in range(1, rounds + 1):
+        contrasted = _contrasted(triples, params, entities, model, seed + step)
+        params = cut(_moved(params, _gradients(contrasted, model, dim), rate, step))
+    return tuple(params.where(F.col("kind") == kind).select("node", "vec") for kind in ("entity", "relation"))
+
+
+def margin_loss(triples: DataFrame, entities: DataFrame, relations: DataFrame, model: str, seed: int = V.SEED) -> DataFrame:
+    """Mean margin loss of the triples against one corrupted triple each, as one row."""
+    numbers = hash_rank(entities, [], F.col("node"), V.SEED).select(F.lit("entity").alias("kind"), "node", (F.col("_rank") - 1).alias("place"), "vec")
+    params = numbers.unionByName(relations.select(F.lit("relation").alias("kind"), "node", F.lit(None).cast("long").alias("place"), "vec"))
+    return _contrasted(triples, params, entities.count(), model, seed).agg(F.avg("loss").alias("loss"))
 
 
 def split_triples(triples: DataFrame, test_share: float = 0.1, seed: int = V.SEED) -> tuple[DataFrame, DataFrame]:
-    """Exact 90/10 split in hash order."""
-    ranked = hash_rank(triples, [], F.concat_ws("|", "s", "p", "o"), seed)
-    is_test = F.col("_rank") <= F.floor(F.col("_size") * test_share)
-    return ranked.where(~is_test).select("s", "p", "o"), ranked.where(is_test).select("s", "p", "o")
+    """Split in hash order, by ``test_share`` of all triples. The first triple of each subject, predicate and object
+    stays in training, so that everything a test triple names has been trained.
+    """
+    name = F.concat_ws("|", "s", "p", "o")
+    known = cut(triples.select("s", "p", "o").distinct().withColumn("_name", name).withColumn("_hash", F.xxhash64(name, F.lit(seed))))
+    ends = known.select(F.explode(F.array(F.struct(F.lit("node").alias("role"), F.col("s").alias("node")), F.struct(F.lit("p").alias("role"), F.col("p").alias("node")),
+                                          F.struct(F.lit("node").alias("role"), F.col("o").alias("node")))).alias("x"), "_hash", "_name")
+    keepers = ends.groupBy("x.role", "x.node").agg(F.min(F.struct("_hash", "_name")).alias("k")).select(F.col("k._name").alias("_name")).distinct()
+    free = known.join(keepers, "_name", "left_anti")
+    wanted = int(known.count() * test_share)
+    test = cut(hash_first(free, [], F.col("_name"), seed, F.lit(wanted), "_in").where("_in").select("s", "p", "o"))
+    return known.select("s", "p", "o").join(test, ["s", "p", "o"], "left_anti"), test
 
 
 def link_queries(test: DataFrame, entities: DataFrame, relations: DataFrame, model: str) -> DataFrame:
     """Both prediction sides of each test triple as ``(query_id, target, q, t)``: a query and a target vector.
 
-    Triples with an end the training never saw have no vector and cannot be ranked.
+    ``split_triples`` leaves no test triple without trained ends.
     """
     rows = lookup_join(test, entities.select(F.col("node").alias("s"), F.col("vec").alias("hv")), "s")
     rows = lookup_join(rows, relations.select(F.col("node").alias("p"), F.col("vec").alias("rv")), "p")
@@ -271,19 +298,28 @@ def link_queries(test: DataFrame, entities: DataFrame, relations: DataFrame, mod
         backward = F.zip_with("tv", "rv", lambda x, y: x - y)
     name = F.concat_ws("|", "s", "p", "o")
     sides = F.array(
-        F.struct(F.concat(F.lit("tail|"), name).alias("query_id"), F.col("o").alias("target"), forward.alias("q"), F.col("tv").alias("t")),
-        F.struct(F.concat(F.lit("head|"), name).alias("query_id"), F.col("s").alias("target"), backward.alias("q"), F.col("hv").alias("t")),
+        F.struct(F.concat(F.lit("tail|"), name).alias("query_id"), F.concat_ws("|", F.lit("tail"), "s", "p").alias("asked"), F.col("o").alias("target"), forward.alias("q"), F.col("tv").alias("t")),
+        F.struct(F.concat(F.lit("head|"), name).alias("query_id"), F.concat_ws("|", F.lit("head"), "p", "o").alias("asked"), F.col("s").alias("target"), backward.alias("q"), F.col("hv").alias("t")),
     )
     return rows.select(F.explode(sides).alias("x")).select("x.*")
 
 
+def true_answers(queries: DataFrame, triples: DataFrame) -> DataFrame:
+    """(query_id, node) of every true answer to the queries of ``link_queries`` made from some of ``triples``."""
+    sides = F.array(*[F.struct(F.concat_ws("|", F.lit(side), a, b).alias("_asked"), F.col(c).alias("node")) for side, a, b, c in (("tail", "s", "p", "o"), ("head", "p", "o", "s"))])
+    answers = triples.select(F.explode(sides).alias("x")).select("x.*").distinct()
+    return queries.join(answers, F.col("asked") == F.col("_asked")).select("query_id", "node")
+
+
 def target_ranks(
-    queries: DataFrame, entities: DataFrame, similarity: str = "dot", block_rows: int = 4096
+    queries: DataFrame, entities: DataFrame, similarity: str = "dot", block_rows: int = 32_768, known: DataFrame | None = None,
+    average_ties: bool = False,
 ) -> DataFrame:
     """Rank of each query's target among all entities: one plus the entities that score higher.
 
-    Queries and entities are cut into bounded blocks. Every pair of blocks is one group that multiplies two small
-    matrices and returns a count per query; no pair of rows is ever emitted and nothing is broadcast.
+    With ``average_ties`` an equal score counts a half. ``known`` (query_id, node) names other true answers, which are
+    left out of the count. Queries and entities are cut into bounded blocks; every pair of blocks is one group that
+    multiplies slices of two matrices and returns counts per query; no pair of rows is ever emitted.
     """
     n_blocks = max(1, math.ceil(entities.count() / block_rows))
     n_chunks = max(1, math.ceil(queries.count() / block_rows))
@@ -302,20 +338,29 @@ def target_ranks(
         return -(np.square(q).sum(1)[:, None] - 2.0 * (q @ v.T) + np.square(v).sum(1)[None, :])
 
     def count_higher(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if asked.empty:
-            return pd.DataFrame({"query_id": pd.Series(dtype=str), "higher": pd.Series(dtype="int64")})
-        higher = np.zeros(len(asked), dtype="int64")
-        if len(block):
-            q, t = np.stack(asked["q"].to_numpy()), np.stack(asked["t"].to_numpy())
-            own = (q * t).sum(1) if similarity == "dot" else -np.square(q - t).sum(1)
-            beats = scores(q, np.stack(block["vec"].to_numpy())) > own[:, None] + 1e-9
-            beats &= asked["target"].to_numpy()[:, None] != block["node"].to_numpy()[None, :]
-            higher = beats.sum(1)
-        return pd.DataFrame({"query_id": asked["query_id"], "higher": higher})
+        higher, equal = np.zeros(len(asked), dtype="int64"), np.zeros(len(asked), dtype="int64")
+        if len(asked) and len(block):
+            vecs, nodes = np.stack(block["vec"].to_numpy()), block["node"].to_numpy()
+            for lo in range(0, len(asked), 512):
+                part = asked.iloc[lo : lo + 512]
+                q, t = np.stack(part["q"].to_numpy()), np.stack(part["t"].to_numpy())
+                own = (q * t).sum(1) if similarity == "dot" else -np.square(q - t).sum(1)
+                gap = scores(q, vecs) - own[:, None]
+                other = part["target"].to_numpy()[:, None] != nodes[None, :]
+                higher[lo : lo + 512] = ((gap > TIE) & other).sum(1)
+                equal[lo : lo + 512] = ((np.abs(gap) <= TIE) & other).sum(1)
+        return pd.DataFrame({"query_id": asked["query_id"].astype(str), "higher": higher, "equal": equal})
 
     counted = left.groupBy("chunk", "block").cogroup(right.groupBy("chunk", "block")).applyInPandas(
-        count_higher, "query_id string, higher long")
-    return counted.groupBy("query_id").agg((F.sum("higher") + 1).alias("rank"))
+        count_higher, "query_id string, higher long, equal long")
+    if known is not None:
+        answers = known.distinct().join(queries, "query_id").where(F.col("node") != F.col("target")).join(entities, "node")
+        score = lambda v: vectors.dot(F.col("q"), v) if similarity == "dot" else -_total(_product(_plus(F.col("q"), v, -1.0), _plus(F.col("q"), v, -1.0)))
+        gap = score(F.col("vec")) - score(F.col("t"))
+        counted = counted.unionByName(answers.select(
+            "query_id", (-(gap > TIE).cast("long")).alias("higher"), (-(F.abs(gap) <= TIE).cast("long")).alias("equal")))
+    rank = F.sum("higher") + 1 + (F.sum("equal") / 2 if average_ties else F.lit(0))
+    return counted.groupBy("query_id").agg(rank.alias("rank"))
 
 
 def rank_metrics(ranks: DataFrame) -> DataFrame:
@@ -331,7 +376,7 @@ def rank_metrics(ranks: DataFrame) -> DataFrame:
 def best_model(
     triples: DataFrame, models: tuple[str, ...] = ("TransE", "DistMult"), dim: int = V.EMBEDDING_DIM, **training
 ) -> tuple[DataFrame, DataFrame]:
-    """Train each model on 90 % of the triples, rank the rest; returns the vectors of the best one and all metrics.
+    """Train each model on 90 % of the triples, rank the rest (filtered, ties averaged); returns the vectors of the best one and all metrics.
 
     The loop runs over a handful of model names; a model that fails is skipped.
     """
@@ -342,9 +387,10 @@ def best_model(
     for model in models:
         try:
             entities, relations = train_translation_model(train, model, dim, **training)
-            queries = link_queries(test, entities, relations, model)
+            queries = cut(link_queries(test, entities, relations, model))
             similarity = "dot" if model == "DistMult" else "l2"
-            row = rank_metrics(target_ranks(queries, entities, similarity)).first()
+            answers = true_answers(queries, train.unionByName(test))
+            row = rank_metrics(target_ranks(queries, entities, similarity, known=answers, average_ties=True)).first()
             found[model] = (entities, row)
         except Exception as failure:  # noqa: BLE001 - one broken model must not stop the others
             failures.append(f"{model}: {failure}")

@@ -503,6 +503,13 @@ SQL["emb_rank_metrics"] = """
 WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 asked AS (SELECT a.vec_id AS id, b.vec_id AS target, a.e AS e, list_inner_product(a.e, b.e) AS own FROM v a JOIN v b ON b.vec_id = a.vec_id + 1),
 ranks AS (SELECT id, 1 + count(*) FILTER (WHERE v.vec_id <> target AND list_inner_product(asked.e, v.e) > own + 1e-9) AS r FROM asked, v GROUP BY id)
+SELECT round(avg(1.0 / r), 9) AS mrr, round(avg(CASE WHEN r <= 10 THEN 1.0 ELSE 0.0 END), 9) AS hits_at_10, round(avg(r), 9) AS mean_rank,
+  count(*) AS ranked FROM ranks"""
+SQL["emb_rank_filtered"] = """
+WITH v AS (SELECT vec_id, label, list_transform(CAST(embedding AS DOUBLE[])[1:8], lambda x: CASE WHEN x > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS e FROM embeddings),
+asked AS (SELECT a.vec_id AS id, b.vec_id AS target, b.label AS wanted, a.e AS e, list_inner_product(a.e, b.e) AS own FROM v a JOIN v b ON b.vec_id = a.vec_id + 1),
+ranks AS (SELECT id, 1 + sum(CASE WHEN v.vec_id = target OR v.label IS NOT DISTINCT FROM wanted THEN 0.0 WHEN list_inner_product(asked.e, v.e) > own + 1e-9 THEN 1.0
+  WHEN abs(list_inner_product(asked.e, v.e) - own) <= 1e-9 THEN 0.5 ELSE 0.0 END) AS r FROM asked, v GROUP BY id)
 SELECT round(avg(1.0 / r), 9) AS mrr, round(avg(CASE WHEN r <= 10 THEN 1.0 ELSE 0.0 END), 9) AS hits_at_10, round(avg(r), 9) AS mean_rank,
   count(*) AS ranked FROM ranks"""
 SQL["emb_mean"] = """

@@ -438,6 +438,18 @@ def emb_rank_metrics(t: Tables) -> DataFrame:
     return embedding.rank_metrics(embedding.target_ranks(queries.drop("vec_id"), v.select("node", "vec")))
 
 
+@register
+def emb_rank_filtered(t: Tables) -> DataFrame:
+    """As above, over coarse vectors that tie often: ties count a half, other vectors of the target's label are left out."""
+    coarse = F.transform("vec", lambda x: F.when(x > 0, 1.0).otherwise(0.0))
+    v = cut(_vec(t).withColumn("vec", F.slice(coarse, 1, 8)))
+    nxt = v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("node").alias("target"), F.col("vec").alias("t"), F.col("label").alias("wanted"))
+    queries = v.select("vec_id", F.col("node").alias("query_id"), F.col("vec").alias("q")).join(nxt, "vec_id").drop("vec_id")
+    known = queries.select("query_id", F.col("wanted").alias("label")).join(v.select("label", "node"), "label").select("query_id", "node")
+    ranks = embedding.target_ranks(queries.drop("wanted"), v.select("node", "vec"), known=known, average_ties=True)
+    return embedding.rank_metrics(ranks)
+
+
 @register
 def emb_mean(t: Tables) -> DataFrame:
     """Mean vector per source over the label groups its documents fall in, in long form."""
