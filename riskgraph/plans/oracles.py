@@ -666,3 +666,8 @@ SQL["st_ingest_unique"] = "\nUNION ALL\n".join(
       CASE l_linestatus WHEN 'F' THEN 'female' WHEN 'O' THEN 'male' END AS gender, l_quantity * 4 + 60 AS resting_bp,
       l_returnflag = 'R' AS has_condition, {band_of('CAST(floor(l_quantity * 2) AS INTEGER)')} AS age_group_code FROM lineitem))"""
     for name, _, sql in RULES["lineitem"])
+SQL["io_ntriples_odd"] = """
+SELECT '_:d' || doc_id AS s, 'urn:in' AS p, '_:' || source AS o, 'iri' AS o_kind, NULL AS o_type FROM documents
+UNION ALL SELECT 'urn:d:' || doc_id, 'urn:lang', 'urn:l:' || lang, 'iri', NULL FROM documents
+UNION ALL SELECT 'urn:d:' || doc_id, 'urn:note', 'é ' || chr(92) || source, 'literal', '@' || lang FROM documents
+UNION ALL SELECT 'malformed', 'urn:line', '<urn:d:' || doc_id || '> broken ' || source, 'literal', NULL FROM documents"""

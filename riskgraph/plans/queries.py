@@ -723,6 +723,23 @@ def io_ntriples_roundtrip(t: Tables) -> DataFrame:
     return ntriples.read_ntriples(t.spark, path)
 
 
+@register
+def io_ntriples_odd(t: Tables) -> DataFrame:
+    """Lines as other writers put them, from documents: blank nodes, no spaces, tags, code points, comments, broken lines."""
+    docs = t.read("documents").select(F.col("doc_id").cast("string").alias("d"), "lang", "source", "n_chars")
+    d, lang, source = F.col("d"), F.col("lang"), F.col("source")
+    lines = F.array(
+        F.concat(F.lit("_:d"), d, F.lit(" <urn:in> _:"), source, F.lit(" .")), F.concat(F.lit("<urn:d:"), d, F.lit("><urn:lang><urn:l:"), lang, F.lit(">.")),
+        F.concat(F.lit("<urn:d:"), d, F.lit('>\t<urn:note> "\\u00e9 \\\\'), source, F.lit('"@'), lang, F.lit(" . # as told")),
+        F.concat(F.lit("# "), d), F.concat(F.lit("<urn:d:"), d, F.lit("> broken "), source))
+    rows = docs.select(F.explode(lines).alias("value"))
+    path = f"{_scratch(t)}/lines"
+    rows.write.text(path)
+    failed = ntriples.malformed(t.spark.read.text(path)).select(
+        F.lit("malformed").alias("s"), F.lit("urn:line").alias("p"), F.col("value").alias("o"), F.lit("literal").alias("o_kind"), F.lit(None).cast("string").alias("o_type"))
+    return ntriples.read_ntriples(t.spark, path).unionByName(failed)
+
+
 @register
 def st_ingest_unique(t: Tables) -> DataFrame:
     """Lines keyed by their order, in several files taken two at a time: uniqueness holds over all batches."""

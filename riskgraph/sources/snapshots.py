@@ -32,6 +32,8 @@ def read_raw_csv(
     try:
         df = reader.csv([paths] if isinstance(paths, str) else list(paths))
     except AnalysisException as failure:
+        if failure.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         raise FileNotFoundError(f"no CSV files under {paths}") from failure
     if not _has_files(spark, df, paths):
         raise FileNotFoundError(f"no CSV files under {paths}")

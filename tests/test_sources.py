@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskgraph import vocabulary as V
 from riskgraph.operators import catalogue as cat, triples
 from riskgraph.plans import zones
-from riskgraph.sources import reports, snapshots, tables
+from riskgraph.sources import ntriples, reports, snapshots, tables
 from riskgraph.streaming.ingest import ingest_new_files
 from tests import fixtures
 
@@ -98,7 +98,35 @@ def test_stream_equals_batch(spark, tmp_path):
 def test_registry_is_consistent():
     import __spark_entry__ as entry
 
-    assert set(entry.oracle_sql()) <= set(entry.queries())
-    without = set(entry.queries()) - set(entry.oracle_sql())
+    from riskgraph.plans.oracles import SQL
+    from riskgraph.plans.queries import QUERIES
+
+    assert set(entry.oracle_sql()) <= set(entry.queries()) and set(QUERIES) <= set(entry.queries())
+    without = set(QUERIES) - set(SQL)
     assert without == {"emb_svd", "emb_train", "ml_candidates", "ml_graph_model", "ml_hybrid_model", "ml_importance"}
     assert json.dumps(sorted(entry.queries())) and V.INDICATORS
+
+
+def test_ntriples_of_other_writers(spark):
+    lines = ["_:a1 <p> _:b.2 .", "<s><p><o>.", '<s>\t<p> "caf\\u00e9 \\U0001F600 \\\\u0041"@en-GB . # said', '<s> <p> "x . # y"^^<t>.', "# comment", "  ", "<s> <p> .", "<s> <p> <o>", "junk"]
+    frame = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = [tuple(r) for r in ntriples.from_lines(frame).collect()]
+    assert got == [("_:a1", "p", "_:b.2", "iri", None), ("s", "p", "o", "iri", None), ("s", "p", "café 😀 \\u0041", "literal", "@en-GB"), ("s", "p", "x . # y", "literal", "t")]
+    assert [r.value for r in ntriples.malformed(frame).collect()] == lines[6:]
+    again = ntriples.from_lines(ntriples.to_lines(spark.createDataFrame(got, ntriples.TRIPLE_SCHEMA)))
+    assert [tuple(r) for r in again.collect()] == got
+
+
+def test_ingest_uniqueness_over_batches(spark, tmp_path):
+    df = spark.createDataFrame(fixtures.CARDIO_ROWS, fixtures.CARDIO_COLUMNS)
+    for i in range(3):  # three files with the same rows
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    seen = []
+    for n in (1, None):
+        out = tmp_path / f"out{n}"
+        ingest_new_files(spark, str(tmp_path / "in"), "parquet", df.schema, cat.standardise_cardio, cat.CARDIO_CONTRACT, str(out),
+                         str(tmp_path / f"state{n}"), "run", "ts", max_files=n).awaitTermination()
+        rule = cat.CARDIO_CONTRACT.unique[0]
+        bad = spark.read.parquet(f"{out}/metrics").where(F.col("rule_name") == rule).agg(F.sum("violations")).first()[0]
+        seen.append((bad, sorted(r.patient_id for r in spark.read.parquet(f"{out}/clean").collect())))
+    assert seen[0] == seen[1]
