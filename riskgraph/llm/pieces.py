@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from riskgraph.llm.common import runs, text_of
 
-RATE, SEED, DRAWS, LONG, BATCH = 0.1, 17, 8, 48, 1 << 22
+RATE, SEED, DRAWS, LONG, BATCH = 0.1, 17, 8, 48, 3 << 19
 MARK = "▁"
 KEYS = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
@@ -197,9 +197,10 @@ class Pieces:
 
     def encode(self, texts: list[str], rate: float = 0.0, seed: int = SEED) -> pa.LargeListArray:
         """Piece ids of each text."""
-        found = [self.chunk.findall(f" {t}") if t else [] for t in texts]
-        per_text = np.array([len(f) for f in found], dtype=np.int64)
-        coded = pa.array([c for f in found for c in f], pa.large_string()).dictionary_encode()
+        parts = [pa.array(self.chunk.findall(f" {t}") if t else [], pa.large_string()) for t in texts]  # compact: no strings of Python stay
+        per_text = np.array([len(p) for p in parts], dtype=np.int64)
+        coded = pa.chunked_array(parts, pa.large_string()).combine_chunks().dictionary_encode()
+        del parts
         chunks, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
         limit = np.uint64(min(int(rate * 2.0**64), 2**64 - 1))
         key = np.array([xxhash.xxh64_intdigest(c.encode("utf-8", "surrogatepass"), seed) for c in chunks] if limit else [0] * len(chunks), dtype=np.uint64)
