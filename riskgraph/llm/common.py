@@ -66,6 +66,7 @@ def runs(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = BAT
         sizes = np.nan_to_num(np.asarray(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=float))
         for lo, hi in slices(sizes.astype(np.int64), limit):
             yield batch.slice(lo, hi - lo)
+            pa.default_memory_pool().release_unused()  # workers live on; what a run needed goes back before the next
 
 
 def labelled_texts(

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from riskgraph.llm.common import runs, text_of
 
-RATE, SEED, DRAWS, LONG, BATCH = 0.1, 17, 8, 48, 3 << 19
+RATE, SEED, DRAWS, LONG, BATCH = 0.1, 17, 8, 48, 1 << 20
 MARK = "▁"
 KEYS = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
