@@ -241,7 +241,7 @@ def _start(triples: DataFrame, dim: int, seed: int) -> DataFrame:
 
 
 def train_translation_model(
-    train: DataFrame, model: str = "DistMult", dim: int = V.EMBEDDING_DIM, rounds: int = 30, rate: float = 0.1, seed: int = V.SEED,
+    train: DataFrame, model: str = "DistMult", dim: int = V.EMBEDDING_DIM, rounds: int = 15, rate: float = 0.1, seed: int = V.SEED,
 ) -> tuple[DataFrame, DataFrame]:
     """Train TransE or DistMult on ``(s, p, o)``; returns entity and relation vectors.
 
