@@ -7,11 +7,12 @@ stands unchanged at a place that its length and segment number narrow to a few p
 under its own segments and probes for shorter or equally long partners with those substrings. Keys are 64-bit hashes
 of (length, segment number, substring), computed from prefix sums for all lines of a batch at once.
 
-A candidate must also agree in a signature: 64 parities of character counts, of which an edit turns two at most. Keys
-that hold more than ``UNIT`` lines are refined: the line outside the shared segment has at most t edits too, so it is
-cut again, and pairs must share a second piece as well; this goes on, so no task sees all pairs of a hot key. What
-remains is verified by banded bit-parallel edit distance (Myers) over the lines' texts. Only hashes travel until
-then, and texts only of lines that are candidates. Classes are the components of the links.
+A candidate must also agree in a signature: 64 parities of character counts, of which an edit turns two at most. Lines
+under one key are compared by signature in arrays, in the task that the key goes to, and only pairs that agree leave
+it. A key with more than ``UNIT`` lines of its own is cut into blocks of about that many; each block is a unit of its
+own that all lines of the key probe, so no task holds an unbounded key and no pair is lost. What remains is verified
+by banded bit-parallel edit distance over the lines' texts. Only hashes travel until then, and texts only of lines
+that are candidates. Classes are the components of the links.
 
 Of each class the first line stays: smallest document id (NULL last), then line number, then row. NULL texts have no
 line, an empty text has one empty line; empty lines and blank ones are lines as others, but ``strip`` never removes
@@ -35,8 +36,8 @@ from riskgraph.llm.simhash import components
 from riskgraph.operators.lineage import cut
 
 SHORT, MOST = 20, 2
-UNIT = 1000
-SIGNS = 16
+UNIT = 2048
+PAIRS = 1 << 22
 BITMAP = 20
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -50,9 +51,10 @@ def budget(length):
 
 @cache
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    up, down = np.full(size, BASE, np.uint64), np.full(size, INVERSE, np.uint64)
+    up[0] = down[0] = 1
     with np.errstate(over="ignore"):
-        up, down = (np.cumprod(np.concatenate([[1], np.full(size - 1, x, np.uint64)]).astype(np.uint64)) for x in (BASE, INVERSE))
-    return up, down
+        return np.cumprod(up), np.cumprod(down)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -99,23 +101,23 @@ def keys_of(chars: np.ndarray, sizes: np.ndarray, starts: np.ndarray, edits: np.
 
 
 def _signs(chars: np.ndarray, sizes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """16 parities of character counts; one edit turns at most two."""
-    bits = np.uint16(1) << ((chars * np.uint32(0x9E3779B1)) >> np.uint32(28)).astype(np.uint16)
-    out = np.zeros(len(sizes), dtype=np.uint16)
+    """64 parities of character counts; one edit turns at most two."""
+    bits = np.uint64(1) << ((chars * np.uint32(0x9E3779B1)) >> np.uint32(26)).astype(np.uint64)
+    out = np.zeros(len(sizes), dtype=np.uint64)
     full = np.flatnonzero(sizes)
     if len(full):
         out[full] = np.bitwise_xor.reduceat(bits, starts[full])
-    return out
+    return out.view(np.int64)
 
 
-def _names(lines: list[str], signs: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """128-bit hash of each line; a short name of 48 bits of it and the signs."""
+def _names(lines: list[str]) -> tuple[list[bytes], np.ndarray]:
+    """128-bit hash of each line; the first 63 bits of it as a short name, whose lowest bit is free."""
     names = [xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in lines]
     front = np.frombuffer(b"".join(names), dtype=">u8")[::2].astype(np.uint64)
-    return names, ((front & ~np.uint64((1 << SIGNS) - 1)) | signs.astype(np.uint64)).view(np.int64)
+    return names, (front & ~np.uint64(1)).view(np.int64)
 
 
-LINES = "rid long, doc_id long, line_no int, line binary, short long, own array<long>, probes array<long>"
+LINES = "rid long, doc_id long, line_no int, line binary, short long, signs long, own array<long>, probes array<long>"
 
 
 def lines_of(rows: DataFrame) -> DataFrame:
@@ -126,7 +128,7 @@ def lines_of(rows: DataFrame) -> DataFrame:
             count = np.array([len(s) for s in split], dtype=np.int64)
             flat = [x for s in split for x in s]
             chars, sizes, starts = _codes(flat)
-            names, short = _names(flat, _signs(chars, sizes, starts))
+            names, short = _names(flat)
             lists = []
             found = list(keys_of(chars, sizes, starts))
             for wanted in (3, 2):
@@ -138,8 +140,8 @@ def lines_of(rows: DataFrame) -> DataFrame:
             doc = pa.array(np.repeat(np.arange(len(split)), count))
             number = np.arange(len(flat)) - np.repeat(np.cumsum(count) - count, count)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rid").take(doc), batch.column("doc_id").take(doc), pa.array(number.astype(np.int32)), pa.array(names, pa.binary()), pa.array(short), *lists],
-                ["rid", "doc_id", "line_no", "line", "short", "own", "probes"])
+                [batch.column("rid").take(doc), batch.column("doc_id").take(doc), pa.array(number.astype(np.int32)), pa.array(names, pa.binary()), pa.array(short),
+                 pa.array(_signs(chars, sizes, starts)), *lists], ["rid", "doc_id", "line_no", "line", "short", "signs", "own", "probes"])
 
     return rows.mapInArrow(each, LINES)
 
@@ -155,8 +157,7 @@ def texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         bits = np.unpackbits(shared.value).astype(bool)
         for batch in runs(batches):
             flat = list(dict.fromkeys(x for t in batch.column("text").to_pylist() if t is not None for x in t.split("\n")))
-            chars, sizes, starts = _codes(flat)
-            names, short = _names(flat, _signs(chars, sizes, starts))
+            names, short = _names(flat)
             slots = np.array([_spark_hash(s) for s in short.view(np.uint64).tolist()], dtype=np.int64) if len(flat) else np.zeros(0, np.int64)
             hit = np.flatnonzero(bits[slots & ((1 << BITMAP) - 1)])
             yield pa.RecordBatch.from_arrays(
@@ -172,61 +173,81 @@ def _spark_hash(value: int) -> int:
     return xxhash.xxh64_intdigest(value.to_bytes(8, "little"), 42) & ((1 << BITMAP) - 1)
 
 
-def _refined(items: DataFrame) -> DataFrame:
-    """``items``: parent, short, role, edits (-1: by length), rest. The same lines under the keys of what is left of
-    them beside the part they share: key, short, role, edits, rest (which leaves out the new part too).
+def candidates(classes: DataFrame, unit: int) -> DataFrame:
+    """(left, right) short names of all lines that share a key and agree in their signs, each pair once for each key.
+
+    ``classes``: short, signs, own, probes. A row's lowest bit of ``who`` tells a line that the key is a segment of.
     """
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, "rest"):
-            rest, role = batch.column("rest").to_pylist(), batch.column("role").to_numpy()
-            parent, short, edits = (batch.column(c).to_numpy() for c in ("parent", "short", "edits"))
-            chars, sizes, starts = _codes(rest)
-            out = []
-            for rows, key, kind, place, size in keys_of(chars, sizes, starts, None if (edits < 0).all() else edits):
-                key = _mixed(key ^ _mixed(parent[rows].view(np.uint64))) if (edits >= 0).all() else key
-                allowed = role[rows] & kind
-                for r, h, k, a, n in zip(rows.tolist(), key.view(np.int64).tolist(), allowed.tolist(), place.tolist(), size.tolist(), strict=True):
-                    if k:
-                        t = int(edits[r]) if edits[r] >= 0 else MOST  # loose at first; pairs are verified
-                        out.append((h, int(short[r]), k, t, rest[r][:a] + rest[r][a + n :]))
-            for lo in range(0, len(out), 20_000):
-                part = out[lo : lo + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in part], pa.int64()), pa.array([x[1] for x in part], pa.int64()), pa.array([x[2] for x in part], pa.int32()),
-                     pa.array([x[3] for x in part], pa.int32()), pa.array([x[4] for x in part], pa.string())],
-                    ["key", "short", "role", "edits", "rest"])
-
-    return items.mapInArrow(each, "key long, short long, role int, edits int, rest string")
-
-
-def _joined(keyed: DataFrame) -> DataFrame:
-    """Candidates under the same key: (left, right) short names whose signs agree. ``keyed``: key, short, role."""
-    own = keyed.where("role & 1 = 1").select("key", F.col("short").alias("left"))
-    probe = keyed.where("role & 2 = 2").select("key", F.col("short").alias("right"))
-    apart = F.bit_count(F.col("left").bitwiseXOR(F.col("right")).bitwiseAND(F.lit((1 << SIGNS) - 1)))
-    pairs = own.join(probe, "key").where((F.col("left") != F.col("right")) & (apart <= 2 * MOST))
-    return pairs.select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right"))
-
-
-def candidates(rows: DataFrame, classes: DataFrame, unit: int) -> DataFrame:
-    """(left, right) short names of all lines that may be linked. ``classes``: short, own, probes."""
-    both = classes.select("short", F.explode(F.array(F.struct(F.lit(3).alias("role"), F.col("own").alias("keys")), F.struct(F.lit(2).alias("role"), F.col("probes").alias("keys")))).alias("x"))
-    keyed = both.select(F.explode("x.keys").alias("key"), "short", F.col("x.role").alias("role"))
-    crowded = lambda k: cut(k.where("role & 1 = 1").groupBy("key").count().where(F.col("count") > unit).select("key"))
-    hot = crowded(keyed)
-    if hot.isEmpty():
-        return cut(_joined(keyed)).distinct()
-    found = cut(_joined(keyed.join(hot, "key", "left_anti")))
-    lines = cut(keyed.join(hot, "key", "left_semi").select("short").distinct())
-    items = texts_of(rows, lines).select(F.lit(0).cast("long").alias("parent"), "short", F.lit(3).alias("role"), F.lit(-1).alias("edits"), F.col("words").alias("rest"))
-    level = cut(_refined(items).join(hot, "key", "left_semi"))
-    while True:
-        level = cut(_refined(level.withColumnRenamed("key", "parent")))
-        hot = crowded(level.where(F.length("rest") > 3 * F.col("edits")))
-        found = found.unionByName(cut(_joined(level.join(hot, "key", "left_anti"))))
-        if hot.isEmpty():
-            return found.distinct()
-        level = level.join(hot, "key", "left_semi")
+    tagged = F.array(F.struct(F.col("short").bitwiseOR(F.lit(1)).alias("who"), F.col("own").alias("keys")), F.struct(F.col("short").alias("who"), F.col("probes").alias("keys")))
+    keyed = classes.select("signs", F.explode(tagged).alias("x")).select("signs", F.col("x.who").alias("who"), F.explode("x.keys").alias("key"))
+    own = F.col("who").bitwiseAND(F.lit(1)) == 1
+    counts = keyed.where(own).groupBy("key").count()
+    hot = cut(counts.where(F.col("count") > unit).select("key", F.ceil(F.col("count") / unit).cast("int").alias("blocks")))
+    known = keyed.join(hot, "key", "left")
+    plain = known.where("blocks IS NULL").select("key", F.lit(0).alias("block"), "who", "signs")
+    crowd = known.where("blocks IS NOT NULL")
+    home = F.pmod(F.xxhash64("who"), F.col("blocks")).cast("int")
+    every = crowd.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "who", "signs", home.alias("home"), own.alias("own"))
+    name = F.when(F.col("own") & (F.col("block") == F.col("home")), F.col("who")).otherwise(F.col("who").bitwiseAND(F.lit(-2)))
+    units = plain.unionByName(every.select("key", "block", name.alias("who"), "signs"))
+    first = F.col("who").bitwiseAND(F.lit(1))
+    sorted_ = units.repartition("key", "block").sortWithinPartitions("key", "block", first.desc())
+    return sorted_.mapInArrow(_pairs, "left long, right long")
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a segment's line with any other line under the same (key, block). Rows come sorted, segments first.
+
+    The last unit of a batch goes on into the next one: whole while it is short, and then as its segments only, whose
+    partners so far have been met.
+    """
+    held = [np.zeros(0, np.int64)] * 4
+    met = 0  # rows at the head of the held ones that have met each other
+    for batch in batches:
+        rows = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("key", "block", "who", "signs"), strict=True)]
+        n = len(rows[0])
+        if not n:
+            continue
+        new = np.flatnonzero(np.concatenate([[True], (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])]))
+        last = int(new[-1])
+        yield from _met([r[:last] for r in rows[2:]], new[:-1], met)
+        if last:
+            met = 0
+        held = [r[last:] for r in rows]
+        own = int((held[2] & 1).sum())
+        if len(held[0]) - own > PAIRS >> 8:  # all its segments are here, and many partners
+            yield from _met(held[2:], np.zeros(1, np.int64), met)
+            held, met = [h[:own] for h in held], own
+    yield from _met(held[2:], np.zeros(min(1, len(held[0])), np.int64), met)
+
+
+def _met(rows: list[np.ndarray], starts: np.ndarray, met: int) -> Iterator[pa.RecordBatch]:
+    """Pairs within units that begin at ``starts``; the first ``met`` rows of the first unit have met."""
+    who, signs = rows
+    if not len(starts):
+        return
+    sizes = np.diff(np.concatenate([starts, [len(who)]]))
+    own = np.add.reduceat(who & 1, starts)
+    busy = (own > 0) & (sizes > 1)
+    starts, sizes, own = starts[busy], sizes[busy], own[busy]
+    left = np.repeat(starts, own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)  # each segment's line
+    until = np.repeat(starts + sizes, own)
+    begin = np.maximum(left + 1, met) if met else left + 1
+    many = np.maximum(until - begin, 0)
+    bounds = np.cumsum(many)
+    lo = 0
+    while lo < len(left):
+        hi = max(lo + 1, int(np.searchsorted(bounds, (bounds[lo - 1] if lo else 0) + PAIRS, side="right")))
+        m = many[lo:hi]
+        a = np.repeat(left[lo:hi], m)
+        b = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(begin[lo:hi], m)
+        near = np.bitwise_count((signs[a] ^ signs[b]).view(np.uint64)) <= 2 * MOST
+        x, y = who[a[near]] & -2, who[b[near]] & -2
+        other = x != y
+        x, y = x[other], y[other]
+        if len(x):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["left", "right"])
+        lo = hi
 
 
 def within(left: list[str], right: list[str], most: np.ndarray) -> np.ndarray:
@@ -277,7 +298,7 @@ def _band(left: list[str], right: list[str], most: np.ndarray) -> np.ndarray:
 
 def links(rows: DataFrame, classes: DataFrame, unit: int = UNIT) -> DataFrame:
     """(left, right) hashes of all pairs of lines within their budget."""
-    pairs = cut(candidates(rows, classes, unit))
+    pairs = cut(candidates(classes, unit).distinct())
     ends = pairs.select(F.explode(F.array("left", "right")).alias("short")).distinct()
     texts = cut(texts_of(rows, cut(ends)))
     side = lambda name: texts.select(F.col("short").alias(name), F.col("line").alias(f"{name}_line"), F.col("words").alias(f"{name}_words"))
@@ -297,7 +318,7 @@ def _resolved(rows: DataFrame, unit: int) -> DataFrame:
     """Every line of ``rows`` (rid, doc_id, text): rid, doc_id, line_no, line, class, n_links, first (of the class)."""
     lines = cut(lines_of(rows))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no", "rid")
-    classes = lines.groupBy("line").agg(F.first("short").alias("short"), F.first("own").alias("own"), F.first("probes").alias("probes"))
+    classes = lines.groupBy("line").agg(F.first("short").alias("short"), F.first("signs").alias("signs"), F.first("own").alias("own"), F.first("probes").alias("probes"))
     found = cut(links(rows, classes, unit))
     degree = found.select(F.explode(F.array("left", "right")).alias("line")).groupBy("line").agg(F.count(F.lit(1)).alias("n_links"))
     roots = cut(components(found).select(F.col("node").alias("line"), F.col("root").alias("class")).join(degree, "line"))

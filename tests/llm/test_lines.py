@@ -37,6 +37,16 @@ def some_lines(rng, n):
     return base + [edited(x, rng.choice([1, 1, 2, 2, 3]), rng) for x in base for _ in range(2)]
 
 
+def test_keys_follow_the_substrings():
+    lines = [f"{i:04d}" + "the same text in all of these lines, but for its head" for i in range(50)] + ["x" * 57]
+    chars, sizes, starts = L._codes(lines)
+    keys = [set() for _ in lines]
+    for rows, key, role, place, size in L.keys_of(chars, sizes, starts):
+        for r, k in zip(rows[role == 3 and slice(None) or slice(0)].tolist(), key.tolist()):
+            keys[r].add(k)
+    assert len(keys[0] & keys[1]) == 2 and len(set().union(*keys[:50])) == 52 and not keys[0] & keys[50]
+
+
 def test_within_as_plain_distance():
     rng = random.Random(4)
     lines = some_lines(rng, 60) + [""]
@@ -64,7 +74,18 @@ def expected(rows):
     return root, degree
 
 
-@pytest.mark.parametrize("unit", [1000, 2])
+@pytest.mark.parametrize(("size", "pairs"), [(3, 1 << 22), (7, 5), (1000, 300)])
+def test_units_over_batches(monkeypatch, size, pairs):
+    monkeypatch.setattr(L, "PAIRS", pairs)
+    rng = random.Random(size)
+    rows = sorted(((rng.randrange(12) ** 2 % 30, rng.randrange(2), 2 * n + rng.randrange(2), 0) for n in range(400)), key=lambda r: (r[0], r[1], -(r[2] & 1)))
+    batches = [L.pa.RecordBatch.from_arrays([L.pa.array(c) for c in zip(*rows[i : i + size])], ["key", "block", "who", "signs"]) for i in range(0, 400, size)]
+    got = sorted((int(a), int(b)) for x in L._pairs(iter(batches)) for a, b in zip(x.column("left").to_pylist(), x.column("right").to_pylist()))
+    want = sorted((min(a[2] & -2, b[2] & -2), max(a[2] & -2, b[2] & -2)) for i, a in enumerate(rows) for b in rows[i + 1 :] if a[:2] == b[:2] and (a[2] | b[2]) & 1)
+    assert got == want
+
+
+@pytest.mark.parametrize("unit", [2048, 2])
 def test_classes_as_brute_force(spark, unit):
     rng = random.Random(unit)
     lines = some_lines(rng, 25) + ["", " "] + [f"user {i:05d} logged in from the same old template line at noon" for i in range(0, 99, 7)]
