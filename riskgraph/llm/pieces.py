@@ -4,9 +4,10 @@ Pieces and scores come from a model file; nothing is trained. A text is escaped
 blanks as their mark) and cut where no piece can reach across: before each run of blanks, and at control characters
 outside the vocabulary. In each chunk the agenda is worked off: the adjacent pair whose joined piece has the best
 score, the leftmost of equals, is joined, until no pair joins. With dropout, a candidate is skipped if a keyed hash of
-(seed, draw, chunk, place, piece) falls below the rate. Equal chunks share their work within a batch, so a chunk has
-``DRAWS`` different draws; which of them a place in a text uses is a hash of seed, text and place. The result is a
-function of seed, rate and text alone, so a task that runs again gives the same pieces.
+(seed, text, number of the chunk in the text, place, piece) falls below the rate, so every occurrence of a chunk has
+its own draw. A candidate's piece always spells the characters that it stands on, so a chunk's result depends only on
+which of its substrings that are pieces are skipped: occurrences of equal chunks with equal skips share their work
+within a batch. The result is a function of seed, rate and text alone, so a task that runs again gives the same pieces.
 
 Chunks of one length are worked off side by side in arrays, one join of every chunk a step; chunks over ``LONG``
 characters use a heap. Both give the same pieces. Characters outside the vocabulary, and the blank mark itself where
@@ -33,7 +34,8 @@ from pyspark.sql import functions as F
 
 from riskgraph.llm.common import runs, text_of
 
-RATE, SEED, DRAWS, LONG, BATCH = 0.1, 17, 8, 48, 1 << 20
+RATE, SEED, LONG, BATCH = 0.1, 17, 48, 1 << 20
+SHARED = 63  # candidates of a chunk whose skips fit one number; with more, each occurrence is worked off alone
 MARK = "▁"
 KEYS = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
@@ -45,6 +47,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def _drawn(key: np.ndarray, place: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return _mixed(key + place.astype(np.uint64) * KEYS[0] + piece.astype(np.uint64) * KEYS[3])
+
+
 class Pieces:
     """The vocabulary of a model as tables, with encoding and decoding of batches."""
 
@@ -61,6 +68,14 @@ class Pieces:
         chars = set("".join(ids))
         if any(MARK in p.lstrip(MARK) for p in ids) or not chars <= set(ids):
             raise ValueError("the model has pieces that reach over a blank, or letters that are no pieces")
+        self.longest = max(map(len, ids))
+        hashes = np.array([self._hash(p) for p in ids], dtype=np.uint64)
+        order = np.argsort(hashes)
+        self.hashes, self.hashed = hashes[order], np.array(list(ids.values()), dtype=np.int64)[order]
+        if (self.hashes[1:] == self.hashes[:-1]).any():
+            raise ValueError("two pieces of the model share a hash")
+        self.filter = np.zeros(1 << 20, dtype=bool)
+        self.filter[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
         self.char = {ord(c): ids[c] for c in chars}
         self.table = np.full(1 << 16, -1, dtype=np.int64)
         for c, i in self.char.items():
@@ -76,6 +91,13 @@ class Pieces:
         alone = "".join(c for c in "\n\r\t" if c not in chars)
         self.chunk = re.compile(f" *[^ {alone}]+| +" + (f"|[{alone}]" if alone else ""))
 
+    @staticmethod
+    def _hash(piece: str) -> int:
+        h = 0
+        for c in piece:
+            h = (h * int(KEYS[0]) + ord(c)) & (1 << 64) - 1
+        return (h ^ h >> 31) * int(KEYS[1]) & (1 << 64) - 1
+
     # -- symbols ---------------------------------------------------------------------------------------------
     def _symbols(self, chars: np.ndarray) -> np.ndarray:
         """Piece of each character; ``size`` + code point for one outside the vocabulary, or for a mark in the text."""
@@ -87,14 +109,12 @@ class Pieces:
         return np.where((out < 0) | (chars == ord(MARK)), self.size + chars.astype(np.int64), out)
 
     def _candidates(self, left: np.ndarray, right: np.ndarray, key: np.ndarray, place: np.ndarray, limit: np.uint64) -> np.ndarray:
-        """The joined piece of each pair, -1 for none or for one that is skipped. ``key`` holds seed, draw and chunk."""
+        """The joined piece of each pair, -1 for none or for one that is skipped. ``key`` holds seed, text and number."""
         wanted = np.where((left < self.size) & (right < self.size), left.astype(np.int64) * self.size + right, -1)
         at = np.minimum(np.searchsorted(self.pair, wanted), len(self.pair) - 1)
         joined = np.where(self.pair[at] == wanted, self.joined[at], -1).astype(np.int64)
         if limit:
-            with np.errstate(over="ignore"):
-                drawn = _mixed(key + place.astype(np.uint64) * KEYS[0] + joined.astype(np.uint64) * KEYS[3])
-            joined[drawn < limit] = -1
+            joined[_drawn(key, place, joined) < limit] = -1
         return joined
 
     def _side_by_side(self, symbols: np.ndarray, key: np.ndarray, limit: np.uint64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -195,6 +215,51 @@ class Pieces:
             values = longer
         return pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(count)]), pa.array(values.astype(np.int32)))
 
+    def _candidates_of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(chunk, place, piece) of the substrings that are pieces, of chunks up to ``LONG``; one of an equal hash is harmless."""
+        short = [c if len(c) <= LONG else "" for c in chunks]
+        sizes = np.array([len(c) for c in short], dtype=np.int64)
+        chars = np.frombuffer("".join(short).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+        chars[chars == 32] = ord(MARK)
+        ends = np.repeat(np.cumsum(sizes), sizes)
+        hashes, at, found = chars, np.arange(len(chars)), []
+        for n in range(2, self.longest + 1):
+            going = at + n <= ends[at]
+            at, hashes = at[going], hashes[going]
+            with np.errstate(over="ignore"):
+                hashes = hashes * KEYS[0] + chars[at + n - 1]
+                mixed = (hashes ^ (hashes >> np.uint64(31))) * KEYS[1]
+            maybe = np.flatnonzero(self.filter[(mixed >> np.uint64(44)).astype(np.int64)])
+            spot = np.minimum(np.searchsorted(self.hashes, mixed[maybe]), len(self.hashes) - 1)
+            same = self.hashes[spot] == mixed[maybe]
+            found.append((at[maybe[same]], self.hashed[spot[same]]))
+        at, piece = (np.concatenate([x[i] for x in found] + [np.zeros(0, np.int64)]) for i in (0, 1))
+        chunk = np.repeat(np.arange(len(chunks)), sizes)[at]
+        order = np.argsort(chunk, kind="stable")
+        return chunk[order], (at - (np.cumsum(sizes) - sizes)[chunk])[order], piece[order]
+
+    def _shared(self, chunks: list[str], code: np.ndarray, key: np.ndarray, limit: np.uint64) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+        """Occurrences (``code``: their chunks) by equal chunk and skips: (chunk, an occurrence) of each class; each one's class."""
+        owner, place, piece = self._candidates_of(chunks)
+        count = np.bincount(owner, minlength=len(chunks))
+        count[[i for i, c in enumerate(chunks) if len(c) > LONG]] = SHARED + 1
+        alone = count > SHARED
+        starts = np.cumsum(np.bincount(owner, minlength=len(chunks))) - np.bincount(owner, minlength=len(chunks))
+        held = np.where(alone, 0, count)
+        skips = np.zeros(len(code), dtype=np.int64)
+        for k in range(int(held.max(initial=0))):  # the k-th candidate of every occurrence that has one
+            rows = np.flatnonzero(held[code] > k)
+            at = starts[code[rows]] + k
+            skips[rows] |= (_drawn(key[rows], place[at], piece[at]) < limit).astype(np.int64) << k
+        lonely = alone[code]
+        skips[lonely] = np.flatnonzero(lonely)  # a number of its own
+        order = np.lexsort((skips, code))
+        new = np.concatenate([[True], (np.diff(code[order]) != 0) | (np.diff(skips[order]) != 0)])[: len(order)]
+        label = np.empty(len(code), dtype=np.int64)
+        label[order] = np.cumsum(new) - 1
+        first = order[new]
+        return (code[first], first), label
+
     def encode(self, texts: list[str], rate: float = 0.0, seed: int = SEED) -> pa.LargeListArray:
         """Piece ids of each text."""
         parts = [pa.array(self.chunk.findall(f" {t}") if t else [], pa.large_string()) for t in texts]  # compact: no strings of Python stay
@@ -203,15 +268,14 @@ class Pieces:
         del parts
         chunks, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
         limit = np.uint64(min(int(rate * 2.0**64), 2**64 - 1))
-        key = np.array([xxhash.xxh64_intdigest(c.encode("utf-8", "surrogatepass"), seed) for c in chunks] if limit else [0] * len(chunks), dtype=np.uint64)
+        key = np.zeros(len(chunks), dtype=np.uint64)
         if limit:
             lead = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), seed) for t in texts], dtype=np.uint64)
             nth = np.arange(len(code)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
             with np.errstate(over="ignore"):
-                draw = (_mixed(np.repeat(lead, per_text) + nth.astype(np.uint64) * KEYS[0]) % np.uint64(DRAWS)).astype(np.int64)
-                unique, code = np.unique(code * DRAWS + draw, return_inverse=True)
-                key = _mixed(key[unique // DRAWS] + (unique % DRAWS).astype(np.uint64) * KEYS[2])
-            chunks = [chunks[i] for i in (unique // DRAWS).tolist()]
+                key = _mixed(np.repeat(lead, per_text) + nth.astype(np.uint64) * KEYS[0])
+            first, code = self._shared(chunks, code, key, limit)
+            chunks, key = [chunks[i] for i in first[0].tolist()], key[first[1]]
         pieces = self._ragged(chunks, key, limit)
         size = np.diff(pieces.offsets.to_numpy())
         ends = np.concatenate([[0], np.cumsum(size[code])])

@@ -85,6 +85,23 @@ def test_dropout_varies_and_repeats(model):
     assert len({tuple(p) for p in np.array_split(np.array(one[0]), 40) for p in [p.tolist()]}) > 3
 
 
+def test_sharing_changes_nothing(model, monkeypatch):
+    texts = [" ".join(["of", "the", "internationalization", "ﬁ▁x", "  a"] * 150), "the " * 400, "é" * 70 + " ok"]
+    shared = model.encode(texts, 0.2).to_pylist()
+    monkeypatch.setattr(P, "SHARED", -1)
+    assert model.encode(texts, 0.2).to_pylist() == shared
+
+
+def test_frequent_chunks_have_many_draws(model):
+    text = " ".join(["internationalization"] * 3000)
+    pieces, cut = model.encode([text], 0.1).to_pylist()[0], []
+    for p in pieces:
+        if model.raw[p].as_py().startswith(b" "):
+            cut.append([])
+        cut[-1].append(p)
+    assert len(cut) == 3000 and len({tuple(c) for c in cut}) > 8
+
+
 def test_documents(spark, model):
     rows = [(i % 5, t) for i, t in enumerate(ODD)] + [(None, None), (7, None), (7, "x" * 100000)]
     docs = spark.createDataFrame([(*r, 1, True) for r in rows], "doc_id long, text string, n_pieces int, lossless boolean").repartition(3)
