@@ -6,8 +6,9 @@ of those the training texts hold) that they have in common: ``|A & B| / sqrt(|A|
 their feature space. A batch of texts is scored as one product of its presence matrix with the landmarks' matrix and
 one with the weights. The score is the softmax of the margins.
 
-The model is fitted on at most about ``PER_CLASS`` training texts of each language, of at most ``CLASSES`` languages
-(the most frequent first); all texts are scored, whole. Training rows have a text with a letter, a language, and an id
+The model is fitted on about ``PER_CLASS`` distinct training texts of each language, those of the lowest hashes and one
+at least, so copies of a text do not count; there are as many landmarks as languages, if these are more than
+``LANDMARKS``. All texts are scored, whole. Training rows have a text with a letter, a language, and an id
 that ``held_out`` does not keep back; a NULL id may train. A text that is NULL or has no letter is ``und`` with score
 0. If nothing can be learned every text is ``und``. Repeated rows and ids are scored row by row. An empty table gives
 an empty result; other columns are carried by ``keep_known`` and ignored elsewhere.
@@ -24,8 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph.llm.common import held_out, runs, text_of
+from riskgraph.operators.lineage import cut
 
-ORDER, PER_CLASS, LANDMARKS, CLASSES, RIDGE = 3, 300, 192, 200, 1e-3
+ORDER, PER_CLASS, LANDMARKS, RIDGE = 3, 300, 192, 1e-3
 SHARPNESS = 8.0
 BITS = 22
 BATCH = 1 << 19
@@ -80,7 +82,7 @@ class Model:
         for x in labels:
             turn.append(turns[x])
             turns[x] += 1
-        marks = np.sort(np.lexsort((np.arange(len(texts)), turn))[:LANDMARKS])  # the classes by turns
+        marks = np.sort(np.lexsort((np.arange(len(texts)), turn))[: max(LANDMARKS, len(self.classes))])  # the classes by turns
         self.landmarks = np.zeros((len(used), len(marks)), dtype=np.float32)
         self.landmarks[:] = np.concatenate([x for x in self._presence(*_grams([texts[i] for i in marks]))]).T
         self.landmarks /= np.sqrt(self.landmarks.sum(axis=0))
@@ -124,15 +126,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     texts = text_of(text_col)
     rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & texts.rlike(r"\p{L}")).select(
         texts.alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(CLASSES).collect()}
-    if not counts:
+    hashed = cut(rows.select("lang", F.pmod(F.xxhash64("text", F.lit("language")), F.lit(1 << 30)).alias("hash")).distinct())
+    counts = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("least"))
+    share = F.least(F.lit(1.0), F.lit(float(per_class)) / F.col("n")) * F.lit(float(1 << 30))
+    limits = cut(counts.select("lang", F.greatest(share.cast("long"), F.col("least") + 1).alias("limit")))
+    some = rows.withColumn("hash", F.pmod(F.xxhash64("text", F.lit("language")), F.lit(1 << 30))).join(F.broadcast(limits), "lang")
+    picked = sorted((r.lang, r.text) for r in some.where("hash < limit").select("lang", "text").distinct().collect())
+    if not picked:
         return None
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, per_class / n) * (1 << 30)))])
-    hashed = F.xxhash64("text", F.lit("language"))
-    some = rows.where(F.pmod(hashed, F.lit(1 << 30)) < F.get(F.array(F.element_at(share, F.col("lang"))), F.lit(0)))
-    picked = sorted((r.lang, r.text) for r in some.distinct().collect())
-    if not picked:  # a rare language alone may have missed its share
-        picked = sorted((r.lang, r.text) for r in rows.limit(per_class).collect())
     return Model([t for _, t in picked], [x for x, _ in picked])
 
 

@@ -139,3 +139,17 @@ def test_kneser_ney_ratios_by_hand():
                     back.append(d * sum(x[:-1] == g[:-1] for x in c) / total if total else 1.0)
                 want += math.log(back[0] / back[1])
         assert got == pytest.approx(want, abs=1e-4)
+
+
+def test_language_sample_counts_distinct_texts(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(None, "copied text of one group", "en")] * 4000 + [(None, words(rng, "en", 30), "en") for _ in range(60)]
+    rows += [(None, words(rng, "de", 30), "de") for _ in range(60)] + [(None, f"{chr(0x4e00 + i)} {chr(0x4e00 + i)}x", f"l{i:03d}") for i in range(230)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = {}
+    monkeypatch.setattr(language, "Model", lambda texts, labels: seen.update(Counter(labels)))
+    language.train(frame, per_class=50)
+    assert 30 < seen["en"] <= 61 and 30 < seen["de"] <= 60 and sum(x.startswith("l") for x in seen) == 230
+    seen.clear()
+    language.train(frame, per_class=0)
+    assert set(seen.values()) == {1} and len(seen) == 232
