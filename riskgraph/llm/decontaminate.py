@@ -1,9 +1,11 @@
 """Benchmark passages in documents, by q-gram lemma filtering and banded alignment.
 
 Both sides are folded: white space runs become one space, letters become lower case one by one. Each benchmark item
-is cut into windows of ``WINDOW`` characters every half window (a shorter item is one window, the last window ends
-with the item), and a window of n characters may differ from a document's region by ``n // PER_EDIT`` edits. A region
-within k edits shares at least ``n + 1 - Q * (k + 1)`` q-grams with the window, all on k + 1 neighbouring diagonals
+is cut into windows of ``WINDOW`` characters every ``stride`` characters (a shorter item is one window, the last window
+ends with the item): at ``STRIDE`` any quote of ``WINDOW`` characters lies within half a stride of a window, which its
+edits cover, wherever it starts. A window of n characters may differ from a document's region by ``n // PER_EDIT`` edits. A region
+within k edits shares at least ``n + 1 - q * (k + 1)`` q-grams with the window, where q is ``Q``, or less in short items
+so that the bound stays at 1, all on k + 1 neighbouring diagonals
 of each side; diagonal bands of width 2k + 1 that overlap by 2k hold all of them together. Bands whose shared q-grams
 meet the bound are verified by banded alignment, free at both ends of the document side.
 
@@ -29,6 +31,7 @@ from riskgraph.llm.common import numbered, runs, text_of, without
 from riskgraph.operators.lineage import cut
 
 Q, WINDOW, PER_EDIT, BLOCK = 12, 96, 16, 1 << 22
+STRIDE = 8
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BITS = 22
 HITS = "rid long, doc_id long, item_id long, start long, end long, edits int, windows int"
@@ -59,17 +62,17 @@ def fold(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return chars[places], places, starts
 
 
-def grams(chars: np.ndarray) -> np.ndarray:
+def grams(chars: np.ndarray, q: int = Q) -> np.ndarray:
     """A 64-bit hash of the q-gram at every position where one fits, by doubling."""
-    done, hashes, width = 0, np.zeros(max(0, len(chars) - Q + 1), dtype=np.uint64), 1
+    done, hashes, width = 0, np.zeros(max(0, len(chars) - q + 1), dtype=np.uint64), 1
     power = chars.astype(np.uint64) + np.uint64(1)
     scale = BASE
     with np.errstate(over="ignore"):
-        while width <= Q:
-            if Q & width:
+        while width <= q:
+            if q & width:
                 hashes = hashes * scale + power[done : done + len(hashes)]
                 done += width
-            if width * 2 > Q:
+            if width * 2 > q:
                 break
             power = power[:-width] * scale + power[width:]
             scale, width = scale * scale, width * 2
@@ -79,9 +82,9 @@ def grams(chars: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """The q-grams of a block of items: sorted hashes with their window and offset, and a bit table before them."""
+    """The q-grams of a block of items, for each q: sorted hashes with their window and offset, and a bit table before them."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str]], stride: int = WINDOW // 2) -> None:
         self.item, self.chars = [], []
         for item_id, text in items:
             chars = fold([text])[0][:-1]
@@ -89,34 +92,41 @@ class Index:
             if len(chars) < Q:
                 continue
             last = max(0, len(chars) - WINDOW)
-            for at in sorted({*range(0, last, WINDOW // 2), last}):
+            for at in sorted({*range(0, last, stride), last}):
                 self.item.append(item_id)
                 self.chars.append(chars[at : at + WINDOW])
         sizes = np.array([len(c) for c in self.chars], dtype=np.int64)
         self.size, self.edits = sizes, sizes // PER_EDIT
-        self.need = np.maximum(1, sizes + 1 - Q * (self.edits + 1))
-        hashes = [grams(c) for c in self.chars]
+        self.q = np.minimum(Q, sizes // (self.edits + 1))
+        self.need = sizes + 1 - self.q * (self.edits + 1)
+        self.tables = {q: self._table(q, np.flatnonzero(self.q == q)) for q in np.unique(self.q).tolist()}
+
+    def _table(self, q: int, windows: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of the windows with this q: window and offset of the sorted q-grams; hashes, their first place and count; bits."""
+        hashes = [grams(self.chars[w], q) for w in windows.tolist()]
         every = np.concatenate([*hashes, np.zeros(0, np.uint64)])
-        window = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
+        window = np.repeat(windows, [len(h) for h in hashes])
         offset = np.concatenate([*(np.arange(len(h)) for h in hashes), np.zeros(0, np.int64)])
         order = np.argsort(every, kind="stable")
-        self.window, self.offset = window[order].astype(np.int64), offset[order].astype(np.int64)
-        self.hash, first, self.count = np.unique(every[order], return_index=True, return_counts=True)
-        self.first = first
-        self.bits = np.zeros(1 << BITS, dtype=bool)
-        self.bits[(self.hash >> np.uint64(64 - BITS)).astype(np.int64)] = True
+        found, first, count = np.unique(every[order], return_index=True, return_counts=True)
+        bits = np.zeros(1 << BITS, dtype=bool)
+        bits[(found >> np.uint64(64 - BITS)).astype(np.int64)] = True
+        return window[order].astype(np.int64), offset[order].astype(np.int64), found, first, count, bits
 
     def hits(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, diagonal) of every q-gram shared with the folded characters."""
-        found = grams(chars)
-        at = np.flatnonzero(self.bits[(found >> np.uint64(64 - BITS)).astype(np.int64)]) if len(self.hash) else np.zeros(0, np.int64)
-        place = np.minimum(np.searchsorted(self.hash, found[at]), max(0, len(self.hash) - 1))
-        same = self.hash[place] == found[at] if len(at) else np.zeros(0, bool)
-        at, place = at[same], place[same]
-        many = self.count[place]
-        ends = np.cumsum(many)
-        posting = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - many, many) + np.repeat(self.first[place], many)
-        return self.window[posting], np.repeat(at, many) - self.offset[posting]
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for q, (window, offset, hashes, first, count, bits) in self.tables.items():
+            found = grams(chars, q)
+            at = np.flatnonzero(bits[(found >> np.uint64(64 - BITS)).astype(np.int64)])
+            place = np.minimum(np.searchsorted(hashes, found[at]), len(hashes) - 1)
+            same = hashes[place] == found[at]
+            at, place = at[same], place[same]
+            many = count[place]
+            ends = np.cumsum(many)
+            posting = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - many, many) + np.repeat(first[place], many)
+            out.append((window[posting], np.repeat(at, many) - offset[posting]))
+        return np.concatenate([w for w, _ in out]), np.concatenate([d for _, d in out])
 
     def bands(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, first diagonal) of the bands that hold enough shared q-grams; a band is 4k + 1 diagonals wide."""
@@ -195,21 +205,21 @@ def find(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int,
     return out
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about ``BLOCK`` characters; one block at a time is on the driver."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, stride: int) -> Iterator[list[tuple[int, str]]]:
+    """The items in blocks of about ``BLOCK`` characters (fewer at a smaller stride); one block at a time is on the driver."""
     items = benchmark.where(F.col(text_col).isNotNull()).select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-total // BLOCK)
+    blocks = -(-total * max(1, WINDOW // 2 // stride) // BLOCK)
     for i in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i)
         yield [(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()]
 
 
-def leaks(rows: DataFrame, benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
+def leaks(rows: DataFrame, benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", stride: int = WINDOW // 2) -> DataFrame:
     """``rows``: rid, doc_id, text. One row for each (row, item) with a match: ``HITS``."""
     spark, found = rows.sparkSession, None
-    for items in _blocks(benchmark, item_col, text_col):
-        index = spark.sparkContext.broadcast(Index(items))
+    for items in _blocks(benchmark, item_col, text_col, stride):
+        index = spark.sparkContext.broadcast(Index(items, stride))
 
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in runs(batches):
@@ -229,14 +239,14 @@ SCHEMA = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("item_id", pa.
                     ("edits", pa.int32()), ("windows", pa.int32())])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", stride: int = WINDOW // 2) -> DataFrame:
     """doc_id, item_id, start, end (code points of the best window's region), edits, windows (that match)."""
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return leaks(rows, benchmark).drop("rid")
+    return leaks(rows, benchmark, stride=stride).drop("rid")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", stride: int = WINDOW // 2) -> DataFrame:
     """The documents in which no item was found, with all their columns."""
     whole = numbered(docs)
     rows = whole.select("rid", F.col(f"row.{id_col}").cast("long").alias("doc_id"), text_of(F.col(f"row.{text_col}")).alias("text"))
-    return without(whole, cut(leaks(rows, benchmark).select("rid")).distinct())
+    return without(whole, cut(leaks(rows, benchmark, stride=stride).select("rid")).distinct())

@@ -65,7 +65,7 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.contaminated(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+    return decontaminate.contaminated(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"), stride=decontaminate.STRIDE)
 
 
 @register

@@ -88,3 +88,29 @@ def test_blocks_and_empty_tables(spark, monkeypatch):
     assert sorted(map(tuple, D.contaminated(docs, items).collect())) == whole and len(whole) >= 4
     assert D.contaminated(docs.where("false"), items).count() == 0 and D.contaminated(docs, items.where("false")).count() == 0
     assert D.clean(docs, items.where("false")).count() == 4 and D.clean(docs.where("false"), items).count() == 0
+
+
+def test_quotes_from_any_place_and_edited_short_items():
+    rng = random.Random(11)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    item = letters(400)
+    quotes = [letters(50) + item[at : at + n] + letters(50) for n in (96, 110) for at in range(0, 400 - n)]
+    assert {d for d, *_ in D.find(D.Index([(1, item)], D.STRIDE), quotes)} == set(range(len(quotes)))
+    for n in (16, 19, 20, 23, 32, 34, 35):
+        short, k = letters(n), n // D.PER_EDIT
+        chars = list(short)
+        for e in range(k):
+            chars[(e + 1) * n // (k + 1)] = "#"
+        found = D.find(D.Index([(1, short)], D.STRIDE), [letters(30) + "".join(chars) + letters(30)])
+        assert [(d, i, e) for d, i, _, _, e, _ in found] == [(0, 1, k)]
+
+
+def test_queries_take_the_small_stride(spark, tmp_path):
+    import corpus_pipeline
+    from riskgraph.llm.queries import QUERIES
+    item = "".join(random.Random(5).choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400))
+    docs = spark.createDataFrame([(i, "0" * 40 + item[i : i + 110] + "0" * 40) for i in range(100, 148)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert QUERIES["op6_decontaminate"](spark, str(tmp_path)).count() == 48
+    assert corpus_pipeline.without_benchmark(spark, docs, str(tmp_path)).count() == 0
