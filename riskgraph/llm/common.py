@@ -40,13 +40,6 @@ def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
     return rows.join(cut(dropped.select("rid")), "rid", "left_anti").select("row.*")
 
 
-def sampled(rows: DataFrame, key: Column, about: int, total: int) -> DataFrame:
-    """About ``about`` of ``total`` rows, chosen by a hash of ``key`` alone: all of them where there are fewer."""
-    if total <= about:
-        return rows
-    return rows.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < int(about / total * (1 << 30)))
-
-
 def slices(sizes: np.ndarray, limit: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:
     """Cut rows into runs of about ``limit`` characters; a longer row is a run of its own."""
     lo, total = 0, 0

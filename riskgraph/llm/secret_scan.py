@@ -4,8 +4,8 @@ Patterns are scanned by the JVM's regular expressions. ``split`` gives the gaps
 ``regexp_extract_all``; running sums over gaps and matches of one text give code-point positions. Only matches are
 shuffled, never texts.
 
-The random model is trained on the values that the patterns find in all documents, the ordinary one on long words of
-about ``sample`` documents that no pattern touches. Both are first-order Markov chains over a fixed alphabet,
+The random model is trained on the values that the patterns find in all documents, the ordinary one on the long words of
+all documents that no pattern touches; of equal texts each weighs its part, so that together they count once. Both are first-order Markov chains over a fixed alphabet,
 smoothed towards their character frequencies; at most alphabet squared counts reach the driver. A further run of ``MIN_RUN`` or more token
 characters is a secret if the log-likelihood ratio for random exceeds ``MIN_RATIO`` in all and ``MIN_MEAN`` for each
 transition, and if it overlaps no span of the patterns. Base spans always stay.
@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import sampled, text_of
+from riskgraph.llm.common import text_of
 from riskgraph.operators.lineage import cut
 
 # The base patterns, in the order of their kinds.
@@ -32,7 +32,7 @@ HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "random")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
-MIN_RUN, MIN_RATIO, MIN_MEAN, SAMPLE = 16, 12.0, 0.6, 2000
+MIN_RUN, MIN_RATIO, MIN_MEAN = 16, 12.0, 0.6
 PRIOR = 200.0  # pseudo-counts of the character frequencies behind each row; rare contexts, also of stray secrets, stay near them
 RUN = r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN
 WORD = r"[A-Za-z0-9+/_=-]{6,}"
@@ -66,8 +66,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
 
 
 def _transitions(values: DataFrame, value: str) -> DataFrame:
+    """(pair, count) of the characters side by side in ``value``; a row counts ``weight`` times."""
     pairs = F.transform(F.sequence(F.lit(1), F.length(value) - 1), lambda i: F.substring(F.col(value), i, 2))
-    return values.where(F.length(value) > 1).select(F.explode(pairs).alias("pair")).groupBy("pair").count()
+    return values.where(F.length(value) > 1).select("weight", F.explode(pairs).alias("pair")).groupBy("pair").agg(
+        F.round(F.sum("weight"), 3).alias("count"))
 
 
 def log_ratios(random: DataFrame, ordinary: DataFrame) -> dict[str, float]:
@@ -84,13 +86,15 @@ def log_ratios(random: DataFrame, ordinary: DataFrame) -> dict[str, float]:
     return {pair: logs[0][pair] - logs[1][pair] for pair in logs[0]}
 
 
-def train(docs: DataFrame, spans: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> dict[str, float]:
-    """Random strings: every value of the patterns. Ordinary ones: long words of sampled documents, patterns cut out."""
-    random = _transitions(spans.where(F.col("kind") < 3), "value")
+def train(docs: DataFrame, spans: DataFrame, text_col: str = "text") -> dict[str, float]:
+    """Random strings: every value of the patterns. Ordinary ones: long words of all documents, patterns cut out."""
+    random = _transitions(spans.where(F.col("kind") < 3).withColumn("weight", F.lit(1.0)), "value")
     texts = docs.select(text_of(text_col).alias("text"))
-    some = sampled(texts, F.col("text"), sample, docs.count())
     clean = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
-    words = some.select(F.explode(F.regexp_extract_all(clean, F.lit(WORD), F.lit(0))).alias("value"))
+    name = F.xxhash64("text").alias("name")
+    copies = cut(texts.select(name).groupBy("name").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"))
+    words = texts.select(name, F.regexp_extract_all(clean, F.lit(WORD), F.lit(0)).alias("words")).join(copies, "name", "left").select(
+        (F.lit(1.0) / F.coalesce("copies", F.lit(1))).alias("weight"), F.explode("words").alias("value"))
     return log_ratios(random, _transitions(words, "value"))
 
 
@@ -101,11 +105,11 @@ def _ratio(value: Column, ratios: dict[str, float]) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(value) - 1), F.lit(0.0), lambda acc, i: acc + F.get(table, place(i) * size + place(i + 1)))
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans."""
     rows, spans = scan(docs, id_col, text_col)
     spans = cut(spans)
-    ratios = train(docs, spans, text_col, sample)
+    ratios = train(docs, spans, text_col)
     scored = spans.withColumn("ratio", F.when(F.col("kind") == 3, _ratio(F.col("value"), ratios)))
     likely = scored.where((F.col("kind") < 3) | ((F.col("ratio") > MIN_RATIO) & (F.col("ratio") > MIN_MEAN * (F.length("value") - 1))))
     by_place = Window.partitionBy("rid").orderBy("start")

@@ -95,6 +95,19 @@ def test_secret_model_adds_random_strings_only(spark):
     assert got[101].n_random == 0 and all(got[i].n_random == 0 and got[i].n_assign == 1 for i in range(60))
 
 
+def test_secret_model_counts_every_document_once(spark, monkeypatch):
+    rows = [(i, f"plain{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}") for i in range(2500)] + [(9, "hotgroup")] * 1000
+    seen = []
+    monkeypatch.setattr(secret_scan, "log_ratios", lambda random, ordinary: seen.append({r["pair"]: r["count"] for r in ordinary.collect()}) or {})
+    docs = table(spark, rows)
+    secret_scan.train(docs, secret_scan.scan(docs)[1])
+    want = {}
+    for text in {t for _, t in rows}:
+        for i in range(len(text) - 1):
+            want[text[i : i + 2]] = want.get(text[i : i + 2], 0) + 1
+    assert seen[0] == pytest.approx(want, abs=0.01) and want["ho"] < 100
+
+
 def test_empty_tables(spark):
     none = table(spark, ROWS).where("false")
     for result in (exact_dedup.digest_groups(none), exact_dedup.keep_first(none), shards.byte_shards(none), secret_scan.find_secrets(none)):
