@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -653,18 +652,11 @@ def ev_cv_table(t: Tables) -> DataFrame:
 
 
 # ---- models ----------------------------------------------------------------------------------------------
-def _small(candidates: tuple[models.Candidate, ...]) -> tuple[models.Candidate, ...]:
-    """The same candidates with smaller ensembles than the operators' defaults: training here shows that the
-    pipelines run on whole tables, and should not dominate a run of the registry."""
-    size = {"forest": {"numTrees": 20, "maxDepth": 8}, "boosting": {"maxIter": 10, "maxDepth": 4}, "logistic": {"maxIter": 100}}
-    return tuple(replace(c, params={**c.params, **size[c.kind]}) for c in candidates)
-
-
 @register
 def ml_candidates(t: Tables) -> DataFrame:
     """Core and enriched pipelines: selection among the tabular candidates, threshold, test metrics."""
-    core = models.train_core(t.records, candidates=_small(models.TABULAR_CANDIDATES))
-    enriched = models.train_enriched(t.records, candidates=_small(models.TABULAR_CANDIDATES))
+    core = models.train_core(t.records)
+    enriched = models.train_enriched(t.records)
     return comparison.comparison_table([core.report, enriched.report])
 
 
@@ -675,20 +667,20 @@ def _graph_vectors(t: Tables) -> DataFrame:
 @register
 def ml_graph_model(t: Tables) -> DataFrame:
     """Classifier on graph features alone, over spectral node vectors."""
-    trained = models.train_kg(t.records, _graph_vectors(t), candidates=_small(models.EMBEDDING_CANDIDATES), folds=2)
+    trained = models.train_kg(t.records, _graph_vectors(t))
     return comparison.comparison_table([trained.report])
 
 
 @register
 def ml_hybrid_model(t: Tables) -> DataFrame:
     """Classifier on tabular and graph features together."""
-    trained = models.train_hybrid(t.records, _graph_vectors(t), candidates=_small(models.HYBRID_CANDIDATES), folds=2)
+    trained = models.train_hybrid(t.records, _graph_vectors(t))
     return comparison.comparison_table([trained.report])
 
 
 @register
 def ml_importance(t: Tables) -> DataFrame:
-    trained = models.train_core(t.records, candidates=models.TABULAR_CANDIDATES[:1])
+    trained = models.train_core(t.records)
     return models.feature_importance(trained.selected.model, trained.selected.names)
 
 
