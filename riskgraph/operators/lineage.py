@@ -7,7 +7,10 @@ loss of executors, later readers prune its columns, and its size is known to the
 from __future__ import annotations
 
 import atexit
+import threading
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,12 +29,52 @@ def scratch(spark: SparkSession, name: str) -> str:
 _owned: set[str] = set()
 
 
+class _Open(threading.local):
+    """The scopes that are open in this thread, each with the paths it removes at its end and those it leaves."""
+
+    def __init__(self) -> None:
+        self.scopes: list[tuple[list[str], list[str]]] = []
+
+
+_open = _Open()
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release(spark: SparkSession) -> None:
     """Remove every table this application has cut. Frames that read one of them cannot be used any more."""
-    jvm, app = spark.sparkContext._jvm, spark.sparkContext.applicationId
-    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/riskgraph/{app}")
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-    _owned.discard(app)
+    _remove(spark, f"{shared_folder(spark)}/riskgraph/{spark.sparkContext.applicationId}")
+    _owned.discard(spark.sparkContext.applicationId)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the cuts made inside as soon as it ends, but for ``lasting`` ones, whose paths it gives to its user.
+
+    An operator whose steps all run inside needs the disk of its intermediate tables only while it works; what its
+    result still reads is cut as ``lasting``.
+    """
+    passing, lasting = [], []
+    _open.scopes.append((passing, lasting))
+    try:
+        yield lasting
+    finally:
+        _open.scopes.pop()
+        for path in passing:
+            _remove(spark, path)
+        if _open.scopes:
+            _open.scopes[-1][1].extend(lasting)
+
+
+def discard(spark: SparkSession, paths: Iterable[str], unless_read_by: DataFrame) -> None:
+    """Remove lasting cuts, but for those that ``unless_read_by`` reads."""
+    read = unless_read_by.inputFiles()
+    for path in paths:
+        if not any(path.split("/riskgraph/", 1)[1] in file for file in read):
+            _remove(spark, path)
 
 
 @atexit.register
@@ -41,10 +84,15 @@ def _release_at_exit() -> None:
         release(spark)
 
 
-def cut(df: DataFrame, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` once and read it back; with ``partition_by``, one folder per value of that column."""
+def cut(df: DataFrame, partition_by: str | None = None, lasting: bool = False) -> DataFrame:
+    """Write ``df`` once and read it back; with ``partition_by``, one folder per value of that column.
+
+    Inside a ``scope`` the table goes with it, unless it is ``lasting``.
+    """
     spark = df.sparkSession
     path = scratch(spark, "cut")
+    if _open.scopes:
+        _open.scopes[-1][lasting].append(path)
     if partition_by:
         df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
     else:

@@ -127,7 +127,7 @@ def test_ntriples_round_trip(spark, tmp_path):
     back = ntriples.read_ntriples(spark, str(tmp_path / "g"))
     assert {tuple(r) for r in back.collect()} == {tuple(r) for r in g.collect()}
     extra = spark.createDataFrame([("# comment",), ("",), ('<a> <b> "hi"@en .',)], "value string")
-    assert [tuple(r) for r in ntriples.from_lines(extra).collect()] == [("a", "b", "hi", "literal", None)]
+    assert [tuple(r) for r in ntriples.from_lines(extra).collect()] == [("a", "b", "hi", "literal", "@en")]
     with pytest.raises(FileNotFoundError):
         ntriples.read_ntriples(spark, str(tmp_path / "none"))
 
