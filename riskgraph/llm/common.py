@@ -28,7 +28,7 @@ def held_out(doc_id: str | Column) -> Column:
 
 def numbered(docs: DataFrame) -> DataFrame:
     """``row`` (all columns as one struct, so that no name can clash) and ``rid``, unique and fixed by writing them once."""
-    return cut(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("rid")))
+    return cut(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("rid")), lasting=True)
 
 
 def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
@@ -37,7 +37,19 @@ def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
     The dropped numbers are written first, so that the planner knows their bytes and moves the texts only if they
     are too many to be sent to every task.
     """
-    return rows.join(cut(dropped.select("rid")), "rid", "left_anti").select("row.*")
+    return rows.join(cut(dropped.select("rid"), lasting=True), "rid", "left_anti").select("row.*")
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, share: float = 0.001) -> DataFrame:
+    """``rows`` joined with their row of ``groups`` (written once) by ``key``; ``size``: the column with a group's number of rows.
+
+    Groups that hold a ``share`` of all rows or more, at most ``1 / share``, are sent to the rows, which stay where they
+    are; only rows of the smaller groups are shuffled. So no group is a task of its own.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = cut(groups.where(F.col(size) >= share * total), lasting=True)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups, key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
 
 
 def slices(sizes: np.ndarray, limit: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskgraph.llm import decontaminate, exact_dedup, language, line_dedup, pieces, quality, secret_scan, shards, simhash, toxicity
+from riskgraph.llm import decontaminate, exact_dedup, language, line_dedup, ngram_join, pieces, quality, secret_scan, shards, simhash, toxicity
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -87,3 +87,31 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.find_secrets(_documents(spark, folder))
+
+
+@register
+def op13_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_groups(_documents(spark, folder))
+
+
+SQL["op13_ngram_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingled AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS shingles
+  FROM words),
+named AS MATERIALIZED (SELECT doc_id, len(shingles) AS n, md5(array_to_string(shingles, chr(10))) AS name, shingles FROM shingled),
+sets AS MATERIALIZED (SELECT min(doc_id) AS least, any_value(n) AS n, any_value(shingles) AS shingles FROM named WHERE n > 0 GROUP BY name),
+tokens AS MATERIALIZED (SELECT least, n, unnest(shingles) AS token FROM sets),
+pairs AS MATERIALIZED (
+  SELECT a.least AS a, b.least AS b FROM tokens a JOIN tokens b ON a.token = b.token AND a.least < b.least
+  GROUP BY a.least, b.least, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+links AS MATERIALIZED (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach(a, b) AS (SELECT least, least FROM sets UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+roots AS (SELECT a, min(b) AS root FROM reach GROUP BY a),
+leads AS (SELECT name, min(doc_id) AS least FROM named WHERE n > 0 GROUP BY name)
+SELECT d.doc_id, d.n AS n_shingles, coalesce(r.root, d.doc_id) AS component_id
+FROM named d LEFT JOIN leads l ON d.n > 0 AND d.name = l.name LEFT JOIN roots r ON r.a = l.least
+"""
