@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskgraph.llm import decontaminate, exact_dedup, language, line_dedup, ngram_join, pieces, quality, secret_scan, shards, simhash, toxicity
+from riskgraph.llm import (
+    centroids, decontaminate, exact_dedup, language, line_dedup, ngram_join, pieces, quality, secret_scan, shards, simhash, spelling, toxicity,
+)
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -89,6 +91,44 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.find_secrets(_documents(spark, folder))
 
 
+@register
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.clusters(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def _clusters_sql(k: int = centroids.K, rounds: int = centroids.ROUNDS) -> str:
+    """One stage of SQL a round: distances to all centroids, then the exact floor of each component's mean."""
+    nearest = """best{r} AS MATERIALIZED (
+  SELECT rid, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance
+  FROM (SELECT rid, cluster, sum((x - c) * (x - c))::BIGINT AS d FROM cells JOIN centroids{r} USING (i) GROUP BY rid, cluster) GROUP BY rid)"""
+    moved = """centroids{next} AS MATERIALIZED (
+  SELECT cluster, i, coalesce((s - ((s % n) + n) % n) // n, c) AS c
+  FROM centroids{r} LEFT JOIN (SELECT cluster, i, sum(x)::BIGINT AS s, count(*) AS n FROM cells JOIN best{r} USING (rid) GROUP BY cluster, i) USING (cluster, i))"""
+    steps = ",\n".join(nearest.format(r=r) + (",\n" + moved.format(r=r, next=r + 1) if r < rounds else "") for r in range(rounds + 1))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+cells AS MATERIALIZED (SELECT rid, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM kept),
+centroids0 AS MATERIALIZED (
+  SELECT cluster, unnest(v) AS c, generate_subscripts(v, 1) AS i
+  FROM (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS cluster, v FROM kept QUALIFY cluster < {k})),
+{steps},
+names AS (SELECT cluster, sha256(string_agg(c, ',' ORDER BY i)) AS centroid_sha256 FROM centroids{rounds} GROUP BY cluster)
+SELECT vec_id, cluster::INT AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+  sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM best{rounds} JOIN kept USING (rid) JOIN names USING (cluster)
+"""
+
+
+SQL["op11_centroids"] = _clusters_sql()
+
+
+@register
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(_documents(spark, folder))
+
+
 @register
 def op13_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_groups(_documents(spark, folder))
