@@ -25,6 +25,8 @@ from riskgraph.operators.triples import hr
 OUTCOME = hr(f"indicator/{V.OUTCOME_INDICATOR}")
 NODE_VEC = "node string, vec array<double>"
 MARGIN, TIE = 1.0, 1e-9
+MOST_RELATIONS = 1 << 14
+COLUMNS = ["place", "block", "vec", "squares", "weight"]
 
 
 def held_out_nodes(graph: DataFrame, outcome: str = OUTCOME) -> DataFrame:
@@ -146,14 +148,14 @@ def svd_embedding(
     return scores.select("node", F.array(*[F.get("vec", F.lit(k)) * s for k, s in enumerate(signs)]).alias("vec"))
 
 
-def _initial_vectors(names: DataFrame, dim: int, seed: int) -> DataFrame:
+def _initial_vectors(names: DataFrame, dim: int, seed: int, *carried: str) -> DataFrame:
     """Uniform start values within 6 / sqrt(dim), derived from the name alone."""
     bound = 6.0 / math.sqrt(dim) / 2.0
     start = F.transform(
         F.sequence(F.lit(0), F.lit(dim - 1)),
         lambda k: F.xxhash64(F.col("node"), k, F.lit(seed)) / F.lit(float(2**63)) * bound,
     )
-    return names.select("node", start.alias("vec"))
+    return names.select("node", *carried, start.alias("vec"))
 
 
 def _product(*arrays: Column) -> Column:
@@ -175,17 +177,6 @@ def _score(model: str, h: Column, r: Column, t: Column) -> Column:
     return -F.sqrt(_total(_product(gap, gap)))
 
 
-def _slopes(model: str, h: Column, r: Column, t: Column) -> tuple[Column, Column, Column]:
-    """Derivatives of the score by head, relation and tail."""
-    if model == "DistMult":
-        return _product(r, t), _product(h, t), _product(h, r)
-    gap = _plus(_plus(h, r), t, -1.0)
-    norm = F.sqrt(_total(_product(gap, gap))) + 1e-9
-    unit = F.transform(gap, lambda x: x / norm)
-    minus = F.transform(unit, lambda x: -x)
-    return minus, minus, unit
-
-
 def _contrasted(triples: DataFrame, params: DataFrame, entities: int, model: str, seed: int) -> DataFrame:
     """Each triple with a corrupted one: one end, by hash, is replaced by an entity drawn by hash from all of them."""
     draw = F.pmod(F.xxhash64("s", "p", "o", F.lit(seed)), F.lit(entities))
@@ -201,63 +192,168 @@ def _contrasted(triples: DataFrame, params: DataFrame, entities: int, model: str
     return rows.withColumn("loss", F.greatest(F.lit(0.0), F.lit(MARGIN) - good + bad))
 
 
-def _gradients(contrasted: DataFrame, model: str, dim: int) -> DataFrame:
-    """Summed gradient of each node and relation: (kind, node, g). One pre-aggregated shuffle by node."""
-    h, r, t, nh, nt = (F.col(c) for c in ("h", "r", "t", "nh", "nt"))
-    gh, gr, gt = _slopes(model, h, r, t)
-    bh, br, bt = _slopes(model, nh, r, nt)
-    minus = lambda a: F.transform(a, lambda x: -x)
-    entry = lambda kind, node, g: F.struct(F.lit(kind).alias("kind"), node.alias("node"), g.alias("g"))
-    entries = F.array(
-        entry("entity", F.col("s"), minus(gh)), entry("entity", F.col("o"), minus(gt)), entry("relation", F.col("p"), _plus(br, gr, -1.0)),
-        entry("entity", F.when(F.col("swap"), F.col("fake")).otherwise(F.col("s")), bh),
-        entry("entity", F.when(F.col("swap"), F.col("o")).otherwise(F.col("fake")), bt))
-    rows = contrasted.where("loss > 0").select(F.explode(entries).alias("x")).select("x.*")
-    return rows.groupBy("kind", "node").agg(F.array(*[F.sum(F.get("g", F.lit(k))) for k in range(dim)]).alias("g"))
-
-
-def _moved(params: DataFrame, gradients: DataFrame, rate: float, clock: int) -> DataFrame:
-    """One Adam step; nodes without a gradient keep their values, entity vectors stay within length one."""
-    rows = params.join(gradients, ["kind", "node"], "left")
-    first = F.zip_with("m", "g", lambda m, g: 0.9 * m + 0.1 * g)
-    second = F.zip_with("v", "g", lambda v, g: 0.999 * v + 0.001 * g * g)
-    known = F.col("g").isNotNull()
-    rows = rows.withColumns({"m": F.when(known, first).otherwise(F.col("m")), "v": F.when(known, second).otherwise(F.col("v"))})
-    step = F.zip_with("m", "v", lambda m, v: rate * (m / (1 - 0.9**clock)) / (F.sqrt(v / (1 - 0.999**clock)) + 1e-8))
-    rows = rows.withColumn("vec", F.when(known, _plus(F.col("vec"), step, -1.0)).otherwise(F.col("vec")))
-    length = F.greatest(F.lit(1.0), F.sqrt(_total(_product(F.col("vec"), F.col("vec")))))
-    short = F.when(F.col("kind") == "entity", F.transform("vec", lambda x: x / length)).otherwise(F.col("vec"))
-    return rows.select("kind", "node", "place", short.alias("vec"), "m", "v")
-
-
-def _start(triples: DataFrame, dim: int, seed: int) -> DataFrame:
-    """Initial parameters; entities are numbered from 0 so that one can be drawn by number."""
+def _slopes(model: str, h: np.ndarray, r: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Scores of a batch and their derivatives by head, relation and tail."""
+    if model == "DistMult":
+        return (h * r * t).sum(1), r * t, h * t, h * r
+    gap = h + r - t
+    norm = np.sqrt(np.square(gap).sum(1))
+    unit = gap / (norm + 1e-9)[:, None]
+    return -norm, -unit, -unit, unit
+
+
+def _descend(values: np.ndarray, squares: np.ndarray, rows: np.ndarray, slopes: np.ndarray, rate: float) -> np.ndarray:
+    """One AdaGrad step of the rows that a batch has met, each with the sum of its slopes; returns them."""
+    met, at = np.unique(rows, return_inverse=True)
+    total = np.zeros((len(met), values.shape[1]))
+    np.add.at(total, at, slopes)
+    squares[met] += np.square(total)
+    values[met] -= rate * total / (np.sqrt(squares[met]) + 1e-10)
+    return met
+
+
+def _visit(
+    model: str, nodes: np.ndarray, node_squares: np.ndarray, relations: np.ndarray, relation_squares: np.ndarray, s: np.ndarray, p: np.ndarray, o: np.ndarray,
+    heads: np.ndarray, tails: np.ndarray, passes: int, batch: int, rate: float, seed: list[int],
+) -> None:
+    """Mini-batches over the edges of one bucket, in place. Corrupted ends come from the bucket's own blocks.
+
+    ``heads`` and ``tails``: for each edge the (first, size) range of rows that its head's and its tail's block has.
+    """
+    rng = np.random.default_rng(seed)
+    for _ in range(passes):
+        order = rng.permutation(len(s))
+        for lo in range(0, len(order), batch):
+            e = order[lo : lo + batch]
+            h, r, t = s[e], p[e], o[e]
+            swap = rng.random(len(e)) < 0.5
+            place = np.where(swap[:, None], heads[e], tails[e])
+            fake = place[:, 0] + (rng.random(len(e)) * place[:, 1]).astype(np.int64)
+            nh, nt = np.where(swap, fake, h), np.where(swap, t, fake)
+            good, gh, gr, gt = _slopes(model, nodes[h], relations[r], nodes[t])
+            bad, bh, br, bt = _slopes(model, nodes[nh], relations[r], nodes[nt])
+            on = MARGIN - good + bad > 0
+            if not on.any():
+                continue
+            rows = np.concatenate([h[on], t[on], nh[on], nt[on]])
+            met = _descend(nodes, node_squares, rows, np.concatenate([-gh[on], -gt[on], bh[on], bt[on]]), rate)
+            nodes[met] /= np.maximum(1.0, np.sqrt(np.square(nodes[met]).sum(1)))[:, None]
+            _descend(relations, relation_squares, r[on], (br - gr)[on], rate)
+
+
+def _turn_of(one: Column, other: Column, blocks: int) -> Column:
+    """When two blocks meet: 0 for a block with itself, else the turn of a round robin, in which pairs are disjoint."""
+    last = blocks - 1 + blocks % 2  # of an even number of players; with an odd number of blocks it is one that is not there
+    if last < 1:
+        return F.lit(0)
+    with_last = F.when(one == last, other).when(other == last, one)
+    return F.when(one == other, F.lit(0)).otherwise(1 + F.coalesce(2 * with_last, one + other) % last).cast("int")
+
+
+def _pair_of(block: Column, turn: int, blocks: int) -> Column:
+    """The smaller block of the pair that a block is in during a turn."""
+    last = blocks - 1 + blocks % 2
+    if turn == 0:
+        return block
+    partner = F.pmod(F.lit(turn - 1) - block, F.lit(last))
+    # the player that would meet itself meets the last one
+    half = [x for x in range(last) if 2 * x % last == (turn - 1) % last]
+    partner = F.when(block == last, F.lit(half[0])).when(block == half[0], F.lit(last)).otherwise(partner)
+    return F.when(partner >= blocks, block).otherwise(F.least(block, partner)).cast("int")
+
+
+def _start(triples: DataFrame, dim: int, seed: int, blocks: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Initial entities (node, place from 0 in hash order, block, vec, squares), relations (node, place, vec), and the
+    triples by numbers (s, p, o) with the blocks of their ends."""
     ends = triples.select(F.explode(F.array("s", "o")).alias("node")).distinct()
-    numbers = hash_rank(ends, [], F.col("node"), seed).select("node", (F.col("_rank") - 1).cast("long").alias("place"))
-    entities = _initial_vectors(ends, dim, seed).join(numbers, "node").select(F.lit("entity").alias("kind"), "node", "place", "vec")
-    relations = _initial_vectors(triples.select(F.col("p").alias("node")).distinct(), dim, seed + 1)
-    both = entities.unionByName(relations.select(F.lit("relation").alias("kind"), "node", F.lit(None).cast("long").alias("place"), "vec"))
-    return both.select("*", vectors.zeros(dim).alias("m"), vectors.zeros(dim).alias("v"))
+    numbers = cut(hash_rank(ends, [], F.col("node"), seed).select("node", (F.col("_rank") - 1).cast("long").alias("place")))
+    entities = _initial_vectors(numbers, dim, seed, "place").select(
+        "node", "place", F.pmod("place", F.lit(blocks)).cast("int").alias("block"), "vec", vectors.zeros(dim).alias("squares"))
+    names = cut(triples.select(F.col("p").alias("node")).distinct())
+    if (many := names.count()) > MOST_RELATIONS:
+        raise ValueError(f"{many} predicates; up to {MOST_RELATIONS} are sent to the tasks")
+    ordered = [r.node for r in names.orderBy("node").collect()]
+    relations = _initial_vectors(triples.sparkSession.createDataFrame(list(enumerate(ordered)), "place long, node string"), dim, seed + 1, "place")
+    edges = triples.join(numbers.select(F.col("node").alias("s"), F.col("place").alias("sn")), "s")
+    edges = edges.join(numbers.select(F.col("node").alias("o"), F.col("place").alias("on")), "o")
+    edges = edges.join(F.broadcast(relations.select(F.col("node").alias("p"), F.col("place").alias("pn"))), "p")
+    ids = edges.select(F.col("sn").alias("s"), F.col("pn").alias("p"), F.col("on").alias("o"))
+    return cut(entities), cut(relations), ids.withColumns({
+        "i": F.pmod("s", F.lit(blocks)).cast("int"), "j": F.pmod("o", F.lit(blocks)).cast("int")})
+
+
+def _mover(model: str, shared, blocks: int, passes: int, batch: int, rate: float, seed: tuple[int, int]):
+    """The function of one turn: a pair's blocks and bucket to the moved blocks, and the moves of the relations met."""
+    def move(key: tuple, held: pd.DataFrame, bucket: pd.DataFrame) -> pd.DataFrame:
+        own = held.sort_values(["block", "place"]).reset_index(drop=True)
+        if not len(bucket):
+            return own.assign(weight=0.0)[COLUMNS]
+        nodes, node_squares = np.stack(own["vec"].to_numpy()), np.stack(own["squares"].to_numpy())
+        relations, relation_squares = (x.copy() for x in shared.value)
+        bucket = bucket.sort_values(["s", "p", "o"])
+        first = own["block"].to_numpy()
+        ranges = lambda b: np.stack([np.searchsorted(first, b), np.searchsorted(first, b, "right") - np.searchsorted(first, b)], axis=1)
+        heads, tails, p = ranges(bucket["i"].to_numpy()), ranges(bucket["j"].to_numpy()), bucket["p"].to_numpy()
+        s, o = heads[:, 0] + bucket["s"].to_numpy() // blocks, tails[:, 0] + bucket["o"].to_numpy() // blocks
+        _visit(model, nodes, node_squares, relations, relation_squares, s, p, o, heads, tails, passes, batch, rate, [*seed, int(key[0])])
+        met, weight = np.unique(p, return_counts=True)
+        moves = pd.DataFrame({"place": met, "block": -1, "vec": list(relations[met] - shared.value[0][met]),
+                              "squares": list(relation_squares[met] - shared.value[1][met]), "weight": weight.astype(float)})
+        return pd.concat([own.assign(vec=list(nodes), squares=list(node_squares), weight=0.0)[COLUMNS], moves])
+
+    return move
 
 
 def train_translation_model(
-    train: DataFrame, model: str = "DistMult", dim: int = V.EMBEDDING_DIM, rounds: int = 30, rate: float = 0.1, seed: int = V.SEED,
+    train: DataFrame, model: str = "DistMult", dim: int = V.EMBEDDING_DIM, rounds: int = 30, rate: float = 0.1, seed: int = V.SEED, batch: int = 256,
+    least_updates: int = 400, block_rows: int = 1 << 16, bucket_edges: int = 1 << 20,
 ) -> tuple[DataFrame, DataFrame]:
-    """Train TransE or DistMult on ``(s, p, o)``; returns entity and relation vectors.
+    """Train TransE or DistMult on ``(s, p, o)`` by mini-batches; returns entity and relation vectors.
+
+    Entities are dealt into blocks of at most ``block_rows`` by number, edges into buckets by the blocks of their ends. In a
+    turn of a round robin every block is in one pair only, so a pair's task holds the only copy of its two blocks, takes
+    the mini-batches of the pair's bucket one after the other, and gives the moved blocks back; nothing is averaged. The
+    buckets are cut into slices of about ``bucket_edges`` edges, a turn for each, so a hub is no larger task. A round is one
+    pass over all buckets. Relations, few by check, are sent to all tasks of a turn; those moved by several tasks take the
+    mean of the moves, weighted by edges. Every turn ends in a table; with one block all rounds are one turn.
 
-    Each round takes every triple with a fresh corrupted one, sums the gradients of the margin loss per node and moves
-    all parameters by one Adam step. It is joins and one aggregate over arrays of the engine; the number of tasks
-    follows the data, negatives come from all entities, and every round ends in a table.
+    There are ``rounds`` passes, or more until ``least_updates`` batches have moved a small graph.
     """
     if model not in ("TransE", "DistMult"):
         raise ValueError(f"unknown model {model}")
+    spark = train.sparkSession
     triples = cut(train.select("s", "p", "o").distinct())
-    params = cut(_start(triples, dim, seed))
-    entities = params.where("kind = 'entity'").count()
-    for step in range(1, rounds + 1):
-        contrasted = _contrasted(triples, params, entities, model, seed + step)
-        params = cut(_moved(params, _gradients(contrasted, model, dim), rate, step))
-    return tuple(params.where(F.col("kind") == kind).select("node", "vec") for kind in ("entity", "relation"))
+    many = triples.select(F.explode(F.array("s", "o")).alias("node")).agg(F.countDistinct("node")).first()[0]
+    blocks = max(1, -(-many // block_rows))
+    entities, names, edges = _start(triples, dim, seed, blocks)
+    pair = F.least("i", "j")
+    largest = edges.groupBy("i", "j").count().agg(F.max("count")).first()[0] or 0
+    slices = max(1, -(-2 * largest // bucket_edges)) if blocks > 1 else max(1, -(-largest // bucket_edges))
+    turn = _turn_of(F.col("i"), F.col("j"), blocks) * slices + F.pmod(F.xxhash64("s", "p", "o", F.lit(seed)), F.lit(slices)).cast("int")
+    edges = cut(edges.select("s", "p", "o", "i", "j", pair.alias("pair"), turn.alias("turn")), partition_by="turn")
+    total = edges.count()
+    turns = (1 if blocks == 1 else blocks + blocks % 2) * slices
+    passes = max(rounds, -(-least_updates * batch // max(total, 1))) if rounds else 0
+    inner = passes if turns == 1 else 1  # one turn holds everything: no table between rounds
+    rows = names.orderBy("place").collect()
+    relations, squares = np.array([r.vec for r in rows]).reshape(len(rows), dim), np.zeros((len(rows), dim))
+    table = entities.select("place", "block", "vec", "squares")
+    for step in range((passes // inner if inner else 0) * turns):
+        at = step % turns
+        shared = spark.sparkContext.broadcast((relations, squares))
+
+        grouped = table.withColumn("pair", _pair_of(F.col("block"), at // slices, blocks)).groupBy("pair")
+        bucket = edges.where(F.col("turn") == at).drop("turn").groupBy("pair")
+        done = cut(grouped.cogroup(bucket).applyInPandas(_mover(model, shared, blocks, inner, batch, rate, (seed, step)), "place long, block int, vec array<double>, squares array<double>, weight double"))
+        table = done.where("block >= 0").drop("weight")
+        moves = done.where("block < 0").groupBy("place").agg(
+            F.sum("weight").alias("w"), _vector_sum(dim, F.col("weight")).alias("vec"), _vector_sum(dim, F.lit(1.0), "squares").alias("squares"))
+        for r in moves.collect():
+            relations[r.place] += np.array(r.vec) / r.w
+            squares[r.place] += r.squares
+        shared.unpersist()
+    ends = spark.createDataFrame([(r.node, relations[r.place].tolist()) for r in rows], NODE_VEC)
+    return entities.select("node", "place").join(table.select("place", "vec"), "place").select("node", "vec"), ends
 
 
 def margin_loss(triples: DataFrame, entities: DataFrame, relations: DataFrame, model: str, seed: int = V.SEED) -> DataFrame:
