@@ -18,10 +18,13 @@ keeps combinations in proportion to the set. A pair uses the larger set's B, so
 gives keys for both.
 
 *Verification.* Keys are counted first, and only those of several sets go on. Members of a key are compared with up to
-three of them (the smallest number, and two by a hash that is the same under all keys), and what is similar becomes one
-component; then members of different components under one key are compared. Every candidate is verified by the exact
-similarity of the two sets. A large group of near copies is thus joined by its leaders, and no link between different
-sets is lost. Tables of each step are removed when the join ends.
+three of them (the smallest number, one by hash, and the one with the commonest keys), and what is similar becomes one
+component; then members of different components under one key are compared, the key's largest component with the
+others and the others among themselves. A set's odd sketch, the parities of its tokens in ``PARITIES`` bits, rules
+candidates out where they stand: two sets differ in at least as many tokens as their sketches in bits. What is left is
+verified by the exact similarity of the two texts' sets. A large group of near copies is thus joined by its leaders,
+nothing is written for a pair that the sketch rules out, and no link between different sets is lost. Tables of each
+step are removed when the join ends.
 
 NULL is an empty text. Repeated rows and ids are rows of their own that share a class. A component's id is its smallest
 document id (any comparable type); NULL ids are carried, and chosen only if there is no other. An empty table gives an
@@ -45,7 +48,7 @@ from riskgraph.llm.simhash import components
 from riskgraph.operators.lineage import cut, scope
 
 WORDS, PERCENT, SEED = 4, 85, 42
-SLOTS, SKETCHES, CLASSES = 1 << 17, 2, 3
+SLOTS, SKETCHES, CLASSES, PARITIES = 1 << 17, 2, 3, 1024
 LEAST_EXCESS, STEP = 16, 16  # a token of class 2 exceeds its counters' mean by so much, one of class 3 by STEP times as much
 MIX = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -153,25 +156,40 @@ def keys(own: np.ndarray, excess: np.ndarray, limits: np.ndarray, percent: int)
 
 
 # ---- the join ------------------------------------------------------------------------------------------------
+def parities(own: np.ndarray) -> np.ndarray:
+    """The odd sketch of a set: a bit for each residue of its tokens, 1 for an odd number of them."""
+    odd = np.bincount((own & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _fit(percent: int) -> str:
+    """Whether sizes n, m and sketches s, t leave the similarity possible."""
+    differ = " + ".join(f"bit_count(s[{i}] ^ t[{i}])" for i in range(PARITIES // 64))
+    return f"100 * least(n, m) >= {percent} * greatest(n, m) AND {100 + percent} * ({differ}) <= {100 - percent} * (n + m)"
+
+
 def signed(rows: DataFrame, words: int, percent: int, blank: bool) -> DataFrame:
-    """rid, n (tokens of the row), digest (of its set), keys."""
+    """rid, n (tokens of the row), digest (of its set), sketch, keys."""
     shared = rows.sparkSession.sparkContext.broadcast(sketch(rows, words))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches):
-            sizes, digests, found = [], [], []
+            sizes, digests, odd, found = [], [], [], []
             for text in batch.column("text").to_pylist():
                 own = shingles(text, words, blank)
                 sizes.append(len(own))
                 digests.append(xxhash.xxh3_128_digest(own.tobytes()))
+                odd.append(parities(own))
                 found.append(keys(own, *shared.value, percent))
             ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
             flat = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(ends, pa.array(flat))],
-                ["rid", "n", "digest", "keys"])
+            odd_ends = np.arange(0, (len(odd) + 1) * PARITIES // 64, PARITIES // 64, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("rid"), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()),
+                pa.ListArray.from_arrays(odd_ends, pa.array(np.concatenate([np.zeros(0, np.int64), *odd]))), pa.ListArray.from_arrays(ends, pa.array(flat)),
+            ], ["rid", "n", "digest", "sketch", "keys"])
 
-    return rows.select("rid", "text").mapInArrow(each, "rid long, n int, digest binary, keys array<long>")
+    return rows.select("rid", "text").mapInArrow(each, "rid long, n int, digest binary, sketch array<long>, keys array<long>")
 
 
 def _verified(rows: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -192,29 +210,30 @@ def _verified(rows: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
 
 
 def _links(rows: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
-    """``sets``: rid, n, keys; one row of each class. Similar pairs (left, right) whose components are those of all similar pairs."""
-    keyed = sets.select("rid", "n", F.explode("keys").alias("key"))
+    """``sets``: rid, n, sketch, keys; one row of each class. Similar pairs (left, right) whose components are those of all similar pairs."""
+    keyed = sets.select("rid", F.explode("keys").alias("key"))
     several = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1"))
-    member = cut(keyed.join(several.select("key"), "key", "left_semi"))
+    member = cut(keyed.join(several, "key"))
     # three of each key to compare with: the first, one by hash, and the one whose keys are the commonest, as an original's are among its copies
-    score = member.join(several, "key").groupBy("rid").agg(F.sum("many").alias("score"))
-    scored = member.join(cut(score), "rid")
-    least = lambda rank: F.min(F.struct(rank.alias("rank"), F.col("rid").alias("other"), F.col("n").alias("m")))
+    scored = member.join(cut(member.groupBy("rid").agg(F.sum("many").alias("score"))), "rid")
+    least = lambda rank: F.min(F.struct(rank.alias("rank"), "rid")).getField("rid")
     chosen = F.array(least(F.lit(0).cast("long")), least(F.xxhash64("rid")), least(-F.col("score")))
-    leads = cut(scored.groupBy("key").agg(chosen.alias("leads")).select("key", F.explode("leads").alias("x")).select("key", "x.other", "x.m").distinct())
-    size_fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
+    leads = cut(scored.groupBy("key").agg(chosen.alias("leads")).select("key", F.explode("leads").alias("other")).distinct())
     ordered = [F.least("rid", "other").alias("left"), F.greatest("rid", "other").alias("right")]
-    stars = cut(member.join(leads, "key").where("rid <> other").where(size_fits).select(*ordered).distinct())
-    near = _verified(rows, stars, words, percent)
+    stars = cut(member.join(leads, "key").where("rid <> other").select(*ordered).distinct())
+    known = cut(sets.select("rid", "n", "sketch").join(member.select("rid").distinct(), "rid", "left_semi"))
+    one, two = known.toDF("left", "n", "s"), known.toDF("right", "m", "t")
+    near = _verified(rows, cut(stars.join(one, "left").join(two, "right").where(_fit(percent)).select("left", "right")), words, percent)
+
     of = cut(components(near).select(F.col("node").alias("rid"), "root"))
-    member = cut(member.join(of, "rid", "left").select("key", "rid", "n", F.coalesce("root", "rid").alias("part")))
+    member = cut(member.select("key", "rid").join(of, "rid", "left").select("key", "rid", F.coalesce("root", "rid").alias("part")))
     parts = member.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"))
-    mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").drop("parts")
-    parts = cut(parts.join(mixed, "key", "left_semi").select("key", "part"))
-    apart = parts.join(parts.select("key", F.col("part").alias("other_part")), "key").where("part < other_part")
-    cross = apart.join(member, ["key", "part"]).join(
-        member.select("key", F.col("part").alias("other_part"), F.col("rid").alias("other"), F.col("n").alias("m")), ["key", "other_part"])
-    rest = cut(cross.where(size_fits).select(*ordered).distinct().join(stars, ["left", "right"], "left_anti"))
+    mixed = cut(parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("part", F.struct("size", "part")).alias("main")).where("parts > 1").drop("parts"))
+    mixed = cut(member.join(mixed, "key").select("key", "rid", "part", (F.col("part") == F.col("main")).alias("is_main")).join(known, "rid"))
+    a = mixed.select("key", "rid", "part", "is_main", "n", F.col("sketch").alias("s"))
+    b = mixed.where("not is_main").select("key", F.col("rid").alias("other"), F.col("part").alias("other_part"), F.col("n").alias("m"), F.col("sketch").alias("t"))
+    across = a.join(b, "key").where("part <> other_part AND (is_main OR part < other_part)").where(_fit(percent))
+    rest = cut(across.select(*ordered).distinct().join(stars, ["left", "right"], "left_anti"))
     return near.unionByName(_verified(rows, rest, words, percent))
 
 
@@ -227,7 +246,7 @@ def classes(rows: DataFrame, words: int = WORDS, percent: int = PERCENT, blank:
         sets = cut(signed(rows, words, percent, blank))
         copies = cut(sets.where("n > 0").groupBy("digest").agg(F.count(F.lit(1)).alias("size"), F.min("rid").alias("lead")).where("size > 1"))
         copied = cut(join_groups(sets.select("rid", "digest"), copies, "digest", "size").select("rid", "lead").where("rid <> lead"))
-        links = _links(rows, sets.join(copied, "rid", "left_anti").select("rid", "n", "keys"), words, percent)
+        links = _links(rows, sets.join(copied, "rid", "left_anti").select("rid", "n", "sketch", "keys"), words, percent)
         roots = cut(components(links).select(F.col("node").alias("lead"), "root"))
         led = sets.select("rid", "n").join(copied, "rid", "left").select("rid", "n", F.coalesce("lead", "rid").alias("lead"))
         return cut(led.join(roots, "lead", "left").select("rid", "n", F.coalesce("root", "lead").alias("root")), lasting=True)
