@@ -13,23 +13,54 @@ from riskgraph.operators.joins import lookup_join
 from riskgraph.operators.lineage import cut
 
 
+HOT_SHARE = 0.001
+
+
+def with_group(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: str) -> DataFrame:
+    """``rows`` left-joined with their row of ``groups`` (written once; one row a key, NULL keys match) without gathering a key.
+
+    ``size`` is a group's number of rows. Groups with ``HOT_SHARE`` of all grouped rows or more, at most ``1 / HOT_SHARE``, are
+    broadcast; in the join of the others the rows of those carry a salt that matches nothing, and so spread evenly.
+    The columns of ``groups`` but the keys are added; unmatched rows have NULL.
+    """
+    named = [f"_key_{i}" for i in range(len(keys))]
+    others = [c for c in groups.columns if c not in keys]
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    sided = groups.select(*[F.col(k).alias(n) for k, n in zip(keys, named, strict=True)], F.struct(*others).alias("_group"), (F.col(size) >= HOT_SHARE * total).alias("_hot"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, named, strict=True)])
+    hot = sided.where("_hot").select(*named, F.col("_group").alias("_hot_group"))
+    marked = rows.join(F.broadcast(hot), same, "left").drop(*named)
+    salt = F.when(F.col("_hot_group").isNotNull(), 1 + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))).otherwise(F.lit(0))
+    cold = sided.where("not _hot").select(*named, "_group", F.lit(0).cast("long").alias("_none"))
+    joined = marked.withColumn("_salt", salt.cast("long")).join(cold, same & (F.col("_salt") == F.col("_none")), "left")
+    found = F.coalesce("_hot_group", "_group")
+    return joined.select(*rows.columns, *[found.getField(c).alias(c) for c in others])
+
+
 def first_of_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str) -> DataFrame:
     """Flag exactly one row per key: the first in ``order`` (NULLs first); the rows of NULL keys form one key.
 
-    Keys are counted first (pre-aggregated, keys only); rows of a key that occurs once are first and never move. The
-    others are ranked in two rounds: within (key, input partition), where a group is never larger than the input split
-    that holds it, and then among the winners of a key, at most one per input partition.
-    ``spark_partition_id`` is a function of the upstream partitioning, so a recomputed task salts alike.
+    Keys are counted first, pre-aggregated; where none repeats, that is all. Of repeated keys the least row is an
+    aggregate: copies are counted, then a mergeable minimum is taken, so no row is moved and no key gathered. Rows then
+    read their key's least one through ``with_group`` and compare. Rows alike in all columns are interchangeable: if the
+    least row has copies, they come from the aggregate, one of them flagged.
     """
-    by = [F.col(c).asc_nulls_first() for c in order]
-    repeated = cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*[F.col(k).alias(f"_key_{k}") for k in keys]))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    single = df.join(repeated, same, "left_anti").withColumn(flag, F.lit(True))
-    split = df.join(repeated, same, "left_semi").withColumn("_part", F.spark_partition_id())
-    local = split.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*by)))
-    heat = local.withColumn("_heat", F.when(F.col("_rn") == 1, F.lit(-1)).otherwise(F.col("_part")))
-    final = F.row_number().over(Window.partitionBy(*keys, "_heat").orderBy(*by))
-    return single.unionByName(heat.withColumn(flag, (F.col("_rn") == 1) & (final == 1)).drop("_part", "_rn", "_heat"))
+    columns, every = df.columns, [*keys, *[c for c in df.columns if c not in keys]]
+    ranked = [c for c in (*order, *every) if c not in keys]
+    ranked = list(dict.fromkeys(ranked))
+    counted = cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
+    if counted.isEmpty():
+        return df.withColumn(flag, F.lit(True))
+    repeated = with_group(df, counted, keys, "_n").where("_n > 1").drop("_n")
+    copies = repeated.groupBy(*every).agg(F.count(F.lit(1)).alias("_copies"))
+    lows = cut(copies.groupBy(*keys).agg(F.sum("_copies").alias("_n"), F.min(F.struct(*ranked, "_copies")).alias("_least")))
+    rows = with_group(df, lows, keys, "_n")
+    least = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col("_least").getField(c)) for c in ranked], F.col("_n").isNotNull())
+    alone = F.coalesce(F.col("_least._copies") == 1, F.lit(True))
+    once = rows.where(alone | ~least).select(*columns, (F.col("_n").isNull() | (least & alone)).alias(flag))
+    several = lows.where("_least._copies > 1").select(*keys, "_least.*").select(
+        *columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"))
+    return once.unionByName(several.select(*columns, (F.col("_copy") == 1).alias(flag)))
 
 
 def ordinal_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:

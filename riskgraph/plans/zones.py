@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from riskgraph import vocabulary as V
 from riskgraph.operators import entailment, harmonise, triples
 from riskgraph.operators.catalogue import SOURCES
-from riskgraph.operators.contracts import Evaluated, evaluate, require_sources, union_quarantine
+from riskgraph.operators.contracts import Evaluated, Split, evaluate, require_sources, union_quarantine
 from riskgraph.operators.formatting import format_dataset
 from riskgraph.operators.harmonise import union_canonical
 from riskgraph.operators.lineage import cut
@@ -54,8 +54,8 @@ def formatted(raw: Mapping[str, DataFrame], run_ts: str) -> dict[str, DataFrame]
     return {name: format_dataset(df, name, run_ts, SOURCES[name][2]) for name, df in raw.items()}
 
 
-def assemble_trusted(parts: list[Evaluated]) -> Trusted:
-    spark = parts[0].frame.sparkSession
+def assemble_trusted(parts: list[Evaluated] | list[Split]) -> Trusted:
+    spark = parts[0].metrics().sparkSession
     return Trusted(
         {e.contract.dataset: e.clean() for e in parts},
         union_quarantine(spark, [e.quarantine() for e in parts]),
@@ -64,12 +64,12 @@ def assemble_trusted(parts: list[Evaluated]) -> Trusted:
 
 
 def trusted(frames: Mapping[str, DataFrame], run_id: str, run_ts: str, share: bool = True) -> Trusted:
-    """Evaluate each source's contract once; ``share`` keeps the evaluation for the three outputs."""
+    """Evaluate each source's contract; with ``share`` one write of a source makes all three outputs."""
     parts = []
     for name, df in frames.items():
         standardise, contract, _ = SOURCES[name]
         checked = evaluate(standardise(df), contract, run_id, run_ts)
-        parts.append(checked.persist() if share else checked)
+        parts.append(checked.split() if share else checked)
     return assemble_trusted(parts)
 
 

@@ -15,7 +15,7 @@ def checked(spark):
     out = {}
     for name, df in frames.items():
         standardise, contract, _ = cat.SOURCES[name]
-        out[name] = evaluate(standardise(df), contract, "run", "ts").persist()
+        out[name] = evaluate(standardise(df), contract, "run", "ts")
     return out
 
 
@@ -110,3 +110,39 @@ def test_ordinals_are_dense(spark):
     out = ordinal_in_key(df, ["k"], ["v"], "n").groupBy("k").agg(
         F.count("*").alias("rows"), F.countDistinct("n").alias("d"), F.min("n").alias("lo"), F.max("n").alias("hi"))
     assert all(r.rows == r.d == r.hi and r.lo == 1 for r in out.collect())
+
+
+def test_hot_keys_stay_spread(spark):
+    """With automatic broadcasts off, a key with a third of all rows, and copies of the least row, are no large task."""
+    df = spark.range(0, 60000, numPartitions=12).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 9000).cast("string")).alias("k"),
+        F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id") % 50).alias("v"), F.array(F.lit("same")).alias("w"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagged = first_of_key(df, ["k"], ["v"], "first")
+        sizes = sorted(r["count"] for r in flagged.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        kept = {r.k: (r.n, r.v, r.all) for r in flagged.groupBy("k").agg(
+            F.count_if("first").alias("n"), F.min(F.when(F.col("first"), F.coalesce("v", F.lit(-1)))).alias("v"), F.count("*").alias("all")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    least = {r.k: (1, r.v, r.all) for r in df.groupBy("k").agg(F.min(F.coalesce("v", F.lit(-1))).alias("v"), F.count("*").alias("all")).collect()}
+    assert kept == least and sizes[-1] <= 3 * max(1, sizes[len(sizes) // 2])
+
+
+@pytest.mark.parametrize("name", list(cat.SOURCES))
+def test_one_write_gives_all_outputs(spark, checked, name):
+    e = checked[name]
+    split = e.split()
+    assert {tuple(r) for r in split.metrics().collect()} == {tuple(r) for r in e.metrics().collect()}
+    assert sorted(map(str, split.clean().collect())) == sorted(map(str, e.clean().collect()))
+    assert sorted(map(str, split.quarantine().collect())) == sorted(map(str, e.quarantine().collect()))
+    assert split.clean().columns == e.clean().columns
+    plan = split.clean()._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "isnotnull(_is_clean" in plan
+
+
+def test_split_of_nothing(spark):
+    df = spark.createDataFrame([], zones.formatted(fixtures.raw(spark), "ts")[V.CARDIO].schema)
+    split = evaluate(cat.standardise_cardio(df), cat.CARDIO_CONTRACT, "run", "ts").split()
+    assert split.clean().count() == split.quarantine().count() == 0 and {r.total_rows for r in split.metrics().collect()} == {0}
