@@ -23,7 +23,8 @@ component; then members of different components under one key are compared, the
 others and the others among themselves. A set's odd sketch, the parities of its tokens in ``PARITIES`` bits, rules
 candidates out where they stand: two sets differ in at least as many tokens as their sketches in bits. What is left is
 verified by the exact similarity of the two texts' sets. A large group of near copies is thus joined by its leaders,
-nothing is written for a pair that the sketch rules out, and no link between different sets is lost. Tables of each
+nothing is written for a pair that the sketch rules out (long sets have a longer one too, read before texts are moved),
+and no link between different sets is lost. Tables of each
 step are removed when the join ends.
 
 NULL is an empty text. Repeated rows and ids are rows of their own that share a class. A component's id is its smallest
@@ -162,6 +163,23 @@ def parities(own: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def long_sketch(own: np.ndarray) -> bytes | None:
+    """The odd sketch of a large set in at least two bits a token; None where the short one has that."""
+    bits = 1 << max(0, 2 * len(own) - 1).bit_length()
+    if bits <= PARITIES:
+        return None
+    odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """In how many tokens two sets differ at least; the longer sketch is folded to the length of the other."""
+    x, y = (np.frombuffer(v, dtype=np.uint8) for v in (a, b))
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(v.reshape(-1, size), axis=0) for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _fit(percent: int) -> str:
     """Whether sizes n, m and sketches s, t leave the similarity possible."""
     differ = " + ".join(f"bit_count(s[{i}] ^ t[{i}])" for i in range(PARITIES // 64))
@@ -169,31 +187,50 @@ def _fit(percent: int) -> str:
 
 
 def signed(rows: DataFrame, words: int, percent: int, blank: bool) -> DataFrame:
-    """rid, n (tokens of the row), digest (of its set), sketch, keys."""
+    """rid, n (tokens of the row), digest (of its set), sketch, wide (sketch of a large set), keys."""
     shared = rows.sparkSession.sparkContext.broadcast(sketch(rows, words))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches):
-            sizes, digests, odd, found = [], [], [], []
+            sizes, digests, odd, wide, found = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 own = shingles(text, words, blank)
                 sizes.append(len(own))
                 digests.append(xxhash.xxh3_128_digest(own.tobytes()))
                 odd.append(parities(own))
+                wide.append(long_sketch(own))
                 found.append(keys(own, *shared.value, percent))
             ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
             flat = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
             odd_ends = np.arange(0, (len(odd) + 1) * PARITIES // 64, PARITIES // 64, dtype=np.int32)
             yield pa.RecordBatch.from_arrays([
                 batch.column("rid"), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()),
-                pa.ListArray.from_arrays(odd_ends, pa.array(np.concatenate([np.zeros(0, np.int64), *odd]))), pa.ListArray.from_arrays(ends, pa.array(flat)),
-            ], ["rid", "n", "digest", "sketch", "keys"])
+                pa.ListArray.from_arrays(odd_ends, pa.array(np.concatenate([np.zeros(0, np.int64), *odd]))),
+                pa.array(wide, pa.binary()), pa.ListArray.from_arrays(ends, pa.array(flat)),
+            ], ["rid", "n", "digest", "sketch", "wide", "keys"])
+
+    return rows.select("rid", "text").mapInArrow(each, "rid long, n int, digest binary, sketch array<long>, wide binary, keys array<long>")
+
+
+def _promising(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` that the sketches of large sets do not rule out either."""
+    large = sets.where("wide is not null")
+    one, two = (large.select(F.col("rid").alias(a), F.col("n").alias(n), F.col("wide").alias(w)) for a, n, w in (("left", "n", "s"), ("right", "m", "t")))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [s is None or t is None or (100 + percent) * least_difference(s, t) <= (100 - percent) * (n + m)
+                    for n, m, s, t in zip(*(batch.column(c).to_pylist() for c in ("n", "m", "s", "t")), strict=True)]
+            ok = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("left").filter(ok), batch.column("right").filter(ok)], ["left", "right"])
 
-    return rows.select("rid", "text").mapInArrow(each, "rid long, n int, digest binary, sketch array<long>, keys array<long>")
+    both = pairs.join(one, "left", "left").join(two, "right", "left").select("left", "right", "n", "m", "s", "t")
+    return both.mapInArrow(each, "left long, right long")
 
 
-def _verified(rows: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+def _verified(rows: DataFrame, pairs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
     """The ``pairs`` (left, right) of rows whose sets are similar; only texts of candidates are moved."""
+    pairs = cut(_promising(pairs, sets, percent))
     ends = cut(pairs.select(F.explode(F.array("left", "right")).alias("rid")).distinct())
     texts = cut(rows.select("rid", "text").join(ends, "rid", "left_semi"))
     both = pairs.join(texts.select(F.col("rid").alias("right"), F.col("text").alias("b")), "right").join(
@@ -221,20 +258,21 @@ def _links(rows: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFr
     leads = cut(scored.groupBy("key").agg(chosen.alias("leads")).select("key", F.explode("leads").alias("other")).distinct())
     ordered = [F.least("rid", "other").alias("left"), F.greatest("rid", "other").alias("right")]
     stars = cut(member.join(leads, "key").where("rid <> other").select(*ordered).distinct())
-    known = cut(sets.select("rid", "n", "sketch").join(member.select("rid").distinct(), "rid", "left_semi"))
-    one, two = known.toDF("left", "n", "s"), known.toDF("right", "m", "t")
-    near = _verified(rows, cut(stars.join(one, "left").join(two, "right").where(_fit(percent)).select("left", "right")), words, percent)
+    known = cut(sets.select("rid", "n", "sketch", "wide").join(member.select("rid").distinct(), "rid", "left_semi"))
+    short = known.select("rid", "n", "sketch")
+    one, two = short.toDF("left", "n", "s"), short.toDF("right", "m", "t")
+    near = _verified(rows, cut(stars.join(one, "left").join(two, "right").where(_fit(percent)).select("left", "right")), known, words, percent)
 
     of = cut(components(near).select(F.col("node").alias("rid"), "root"))
     member = cut(member.select("key", "rid").join(of, "rid", "left").select("key", "rid", F.coalesce("root", "rid").alias("part")))
     parts = member.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"))
     mixed = cut(parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("part", F.struct("size", "part")).alias("main")).where("parts > 1").drop("parts"))
-    mixed = cut(member.join(mixed, "key").select("key", "rid", "part", (F.col("part") == F.col("main")).alias("is_main")).join(known, "rid"))
+    mixed = cut(member.join(mixed, "key").select("key", "rid", "part", (F.col("part") == F.col("main")).alias("is_main")).join(short, "rid"))
     a = mixed.select("key", "rid", "part", "is_main", "n", F.col("sketch").alias("s"))
     b = mixed.where("not is_main").select("key", F.col("rid").alias("other"), F.col("part").alias("other_part"), F.col("n").alias("m"), F.col("sketch").alias("t"))
     across = a.join(b, "key").where("part <> other_part AND (is_main OR part < other_part)").where(_fit(percent))
     rest = cut(across.select(*ordered).distinct().join(stars, ["left", "right"], "left_anti"))
-    return near.unionByName(_verified(rows, rest, words, percent))
+    return near.unionByName(_verified(rows, rest, known, words, percent))
 
 
 def classes(rows: DataFrame, words: int = WORDS, percent: int = PERCENT, blank: bool = False) -> DataFrame:
@@ -246,7 +284,7 @@ def classes(rows: DataFrame, words: int = WORDS, percent: int = PERCENT, blank:
         sets = cut(signed(rows, words, percent, blank))
         copies = cut(sets.where("n > 0").groupBy("digest").agg(F.count(F.lit(1)).alias("size"), F.min("rid").alias("lead")).where("size > 1"))
         copied = cut(join_groups(sets.select("rid", "digest"), copies, "digest", "size").select("rid", "lead").where("rid <> lead"))
-        links = _links(rows, sets.join(copied, "rid", "left_anti").select("rid", "n", "sketch", "keys"), words, percent)
+        links = _links(rows, sets.join(copied, "rid", "left_anti").select("rid", "n", "sketch", "wide", "keys"), words, percent)
         roots = cut(components(links).select(F.col("node").alias("lead"), "root"))
         led = sets.select("rid", "n").join(copied, "rid", "left").select("rid", "n", F.coalesce("lead", "rid").alias("lead"))
         return cut(led.join(roots, "lead", "left").select("rid", "n", F.coalesce("root", "lead").alias("root")), lasting=True)

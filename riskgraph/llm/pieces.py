@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from riskgraph.llm.common import runs, text_of
 
-RATE, SEED, LONG, BATCH = 0.1, 17, 48, 1 << 20
+RATE, SEED, LONG, BATCH = 0.1, 17, 48, 1 << 21
 SHARED = 63  # candidates of a chunk whose skips fit one number; with more, each occurrence is worked off alone
 MARK = "▁"
 KEYS = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
@@ -52,6 +52,37 @@ def _drawn(key: np.ndarray, place: np.ndarray, piece: np.ndarray) -> np.ndarray:
         return _mixed(key + place.astype(np.uint64) * KEYS[0] + piece.astype(np.uint64) * KEYS[3])
 
 
+class Table:
+    """Positions of distinct 64-bit keys by open addressing; a probe is one read for all keys asked."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.bits = max(4, int(len(keys) * 4).bit_length())
+        self.keys, self.at = np.zeros(1 << self.bits, dtype=np.uint64), np.full(1 << self.bits, -1, dtype=np.int32)
+        todo, spot = np.arange(len(keys), dtype=np.int32), self._spot(keys)
+        while len(todo):
+            free = self.at[spot] < 0
+            self.at[spot[free]] = todo[free]  # of several, the last one stays
+            won = self.at[spot] == todo
+            self.keys[spot[won]] = keys[todo[won]]
+            todo, spot = todo[~won], (spot[~won] + 1) & (1 << self.bits) - 1
+
+    def _spot(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (keys * KEYS[0] >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The position of each key, -1 for one that is not there."""
+        shape, keys = keys.shape, keys.ravel()
+        spot = self._spot(keys)
+        at = self.at[spot]
+        other = np.flatnonzero((self.keys[spot] != keys) & (at >= 0))
+        while len(other):
+            spot[other] = (spot[other] + 1) & (1 << self.bits) - 1
+            at[other] = self.at[spot[other]]
+            other = other[(self.keys[spot[other]] != keys[other]) & (at[other] >= 0)]
+        return at.reshape(shape)
+
+
 class Pieces:
     """The vocabulary of a model as tables, with encoding and decoding of batches."""
 
@@ -70,12 +101,11 @@ class Pieces:
             raise ValueError("the model has pieces that reach over a blank, or letters that are no pieces")
         self.longest = max(map(len, ids))
         hashes = np.array([self._hash(p) for p in ids], dtype=np.uint64)
-        order = np.argsort(hashes)
-        self.hashes, self.hashed = hashes[order], np.array(list(ids.values()), dtype=np.int64)[order]
-        if (self.hashes[1:] == self.hashes[:-1]).any():
+        if len(np.unique(hashes)) < len(hashes):
             raise ValueError("two pieces of the model share a hash")
+        self.hashes, self.hashed = Table(hashes), np.array(list(ids.values()), dtype=np.int64)
         self.filter = np.zeros(1 << 20, dtype=bool)
-        self.filter[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
+        self.filter[(hashes >> np.uint64(44)).astype(np.int64)] = True
         self.char = {ord(c): ids[c] for c in chars}
         self.table = np.full(1 << 16, -1, dtype=np.int64)
         for c, i in self.char.items():
@@ -84,8 +114,8 @@ class Pieces:
         scores = np.array([tool.get_score(i) for i in range(n)])
         self.rank = np.unique(scores, return_inverse=True)[1].astype(np.int64)
         joins = {ids[p[:k]] * n + ids[p[k:]]: i for p, i in ids.items() for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids}
-        self.pair = np.array(sorted(joins), dtype=np.int64)
-        self.joined = np.array([joins[k] for k in sorted(joins)], dtype=np.int32)
+        self.pair, self.joined = np.array(list(joins), dtype=np.int64), np.array(list(joins.values()), dtype=np.int64)
+        self.pairs, self.made = Table(self.pair.astype(np.uint64)), np.append(self.joined, -1)  # position -1 is the last
         raw = [bytes([int(names[i][3:5], 16)]) if tool.is_byte(i) else names[i].replace(MARK, " ").encode() if plain[i] else b"" for i in range(n)]
         self.raw = pa.array(raw, pa.large_binary())
         alone = "".join(c for c in "\n\r\t" if c not in chars)
@@ -110,9 +140,10 @@ class Pieces:
 
     def _candidates(self, left: np.ndarray, right: np.ndarray, key: np.ndarray, place: np.ndarray, limit: np.uint64) -> np.ndarray:
         """The joined piece of each pair, -1 for none or for one that is skipped. ``key`` holds seed, text and number."""
-        wanted = np.where((left < self.size) & (right < self.size), left.astype(np.int64) * self.size + right, -1)
-        at = np.minimum(np.searchsorted(self.pair, wanted), len(self.pair) - 1)
-        joined = np.where(self.pair[at] == wanted, self.joined[at], -1).astype(np.int64)
+        joined = self.made[self.pairs.find((left.astype(np.int64) * self.size + right).astype(np.uint64))]
+        strange = (left >= self.size) | (right >= self.size)
+        if strange.any():
+            joined[strange] = -1
         if limit:
             joined[_drawn(key, place, joined) < limit] = -1
         return joined
@@ -230,8 +261,8 @@ class Pieces:
                 hashes = hashes * KEYS[0] + chars[at + n - 1]
                 mixed = (hashes ^ (hashes >> np.uint64(31))) * KEYS[1]
             maybe = np.flatnonzero(self.filter[(mixed >> np.uint64(44)).astype(np.int64)])
-            spot = np.minimum(np.searchsorted(self.hashes, mixed[maybe]), len(self.hashes) - 1)
-            same = self.hashes[spot] == mixed[maybe]
+            spot = self.hashes.find(mixed[maybe])
+            same = spot >= 0
             found.append((at[maybe[same]], self.hashed[spot[same]]))
         at, piece = (np.concatenate([x[i] for x in found] + [np.zeros(0, np.int64)]) for i in (0, 1))
         chunk = np.repeat(np.arange(len(chunks)), sizes)[at]

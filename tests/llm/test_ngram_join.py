@@ -29,7 +29,7 @@ def texts(rng, n):
     words = [f"w{i}" for i in range(300)]
     say = lambda k: " ".join(rng.choice(words) for _ in range(k))
     passages = [say(rng.choice([9, 25, 60])) for _ in range(4)]
-    base = [say(rng.choice([5, 9, 12, 40, 90, 200])) for _ in range(8)] + [" ".join(rng.sample(passages, 3)) for _ in range(4)] + passages
+    base = [say(rng.choice([5, 9, 12, 40, 90, 200])) for _ in range(8)] + [say(900)] + [" ".join(rng.sample(passages, 3)) for _ in range(4)] + passages
     out = list(base)
     while len(out) < n:
         w = rng.choice(base).split()
@@ -75,6 +75,20 @@ def test_prefixes_of_similar_sets_share_a_key():
     assert len(J.keys(long, np.full(2 * J.SLOTS, 500, np.int32), limits, 85)) < 2 * len(long)  # combinations grow with the set, not its square
 
 
+def test_sketches_never_rule_out_too_much():
+    draw = np.random.default_rng(9)
+    for n in (3, 300, 511, 513, 3000, 9000):
+        a = np.unique(draw.integers(0, 2**63, n).astype(np.uint64))
+        for share in (0, 0.02, 0.3, 1):
+            b = np.unique(np.concatenate([a[int(share * n) :], draw.integers(0, 2**63, int(1.1 * share * n)).astype(np.uint64)]))
+            differ = len(np.setxor1d(a, b))
+            assert np.bitwise_count((J.parities(a) ^ J.parities(b)).view(np.uint64)).sum() <= differ
+            wide = J.long_sketch(a), J.long_sketch(b)
+            assert (wide[0] is None) == (2 * len(a) <= 1024)
+            if None not in wide:
+                assert differ * 0.3 <= J.least_difference(*wide) <= differ
+
+
 def test_no_similarity_below_the_proof(spark):
     with pytest.raises(ValueError):
         J.classes(spark.createDataFrame([], "rid long, text string"), 4, 70)
