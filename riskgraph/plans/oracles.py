@@ -544,25 +544,31 @@ def _set_mean(name: str) -> str:
 
 
 KG_FEATURES = f"""{NODE_VEC},
-rn AS (SELECT *, {D} AS dn, {GROUP_IRI} AS gn, {_OBS} AS obs, {_RISK} AS risk, {_PROT} AS prot FROM records WHERE target IS NOT NULL),
+rn AS MATERIALIZED (SELECT *, {D} AS dn, {GROUP_IRI} AS gn, {_OBS} AS obs, {_RISK} AS risk, {_PROT} AS prot FROM records WHERE target IS NOT NULL),
 {_set_mean('obs')}, {_set_mean('risk')}, {_set_mean('prot')},
-f AS (SELECT source_dataset, source_record_id, gn, target, len(obs) AS n1, len(risk) AS n2, len(prot) AS n3,
+kinds AS MATERIALIZED (SELECT DISTINCT dn, gn, obs, risk, prot FROM rn),
+f AS MATERIALIZED (SELECT dn, gn, obs, risk, prot, len(obs) AS n1, len(risk) AS n2, len(prot) AS n3,
   list_concat(d.e, g.e, coalesce(om.e, {ZERO}), coalesce(rm.e, {ZERO}), coalesce(pm.e, {ZERO}),
     list_transform(list_zip(d.e, g.e), lambda z: z[1] * z[2]), list_transform(list_zip(d.e, g.e), lambda z: abs(z[1] - z[2])),
     [len(obs)::DOUBLE, len(risk)::DOUBLE, len(prot)::DOUBLE]) AS x
-  FROM rn JOIN nv d ON d.node = dn JOIN nv g ON g.node = gn LEFT JOIN obs_mean om ON om.ns = obs LEFT JOIN risk_mean rm ON rm.ns = risk
-  LEFT JOIN prot_mean pm ON pm.ns = prot)"""
+  FROM kinds JOIN nv d ON d.node = dn JOIN nv g ON g.node = gn LEFT JOIN obs_mean om ON om.ns = obs LEFT JOIN risk_mean rm ON rm.ns = risk
+  LEFT JOIN prot_mean pm ON pm.ns = prot),
+sums AS MATERIALIZED (SELECT dn, gn, obs, risk, prot, n1, n2, n3, CAST(len(x) AS INTEGER) AS width, round(list_sum(x), 5) AS total,
+  round(list_inner_product(x, list_transform(range(1, 452), lambda k: k::DOUBLE)), 4) AS weighted FROM f)"""
 SQL["emb_kg_features"] = graph_with(KG_FEATURES, """
 SELECT source_dataset, source_record_id, gn AS population_group, CAST(target AS INTEGER) AS target, CAST(n1 AS INTEGER) AS observed_indicator_count,
-  CAST(n2 AS INTEGER) AS risk_indicator_count, CAST(n3 AS INTEGER) AS protective_indicator_count, CAST(len(x) AS INTEGER) AS width,
-  round(list_sum(x), 5) AS total, round(list_inner_product(x, list_transform(range(1, 452), lambda k: k::DOUBLE)), 4) AS weighted FROM f""")
+  CAST(n2 AS INTEGER) AS risk_indicator_count, CAST(n3 AS INTEGER) AS protective_indicator_count, width, total, weighted
+FROM rn JOIN sums USING (dn, gn, obs, risk, prot)""")
 _TAB = ", ".join(f"CAST({c} AS DOUBLE) AS tab_{c}" for c in (*V.ENRICHED_NUMERIC, *V.HYBRID_BINARY))
 SQL["emb_hybrid_features"] = graph_with(f"""{NODE_VEC},
-hf AS (SELECT r.*, coalesce(d.e, {ZERO}) AS de, coalesce(g.e, {ZERO}) AS ge FROM (SELECT *, {D} AS dn, {GROUP_IRI} AS gn FROM records WHERE target IS NOT NULL) r
+rn AS MATERIALIZED (SELECT *, {D} AS dn, {GROUP_IRI} AS gn FROM records WHERE target IS NOT NULL),
+hf AS (SELECT dn, gn, coalesce(d.e, {ZERO}) AS de, coalesce(g.e, {ZERO}) AS ge FROM (SELECT DISTINCT dn, gn FROM rn)
   LEFT JOIN nv d ON d.node = dn LEFT JOIN nv g ON g.node = gn),
-hx AS (SELECT *, list_concat(ge, de, list_transform(list_zip(ge, de), lambda z: z[1] * z[2])) AS x FROM hf)""", f"""
-SELECT source_dataset, source_record_id, CAST(target AS INTEGER) AS target, {_TAB}, CAST(len(x) AS INTEGER) AS width, round(list_sum(x), 5) AS total,
-  round(list_inner_product(x, list_transform(range(1, 193), lambda k: k::DOUBLE)), 4) AS weighted FROM hx""")
+hx AS MATERIALIZED (SELECT dn, gn, list_concat(ge, de, list_transform(list_zip(ge, de), lambda z: z[1] * z[2])) AS x FROM hf),
+sums AS MATERIALIZED (SELECT dn, gn, CAST(len(x) AS INTEGER) AS width, round(list_sum(x), 5) AS total,
+  round(list_inner_product(x, list_transform(range(1, 193), lambda k: k::DOUBLE)), 4) AS weighted FROM hx)""", f"""
+SELECT source_dataset, source_record_id, CAST(target AS INTEGER) AS target, {_TAB}, width, total, weighted
+FROM rn LEFT JOIN sums ON sums.dn = rn.dn AND sums.gn IS NOT DISTINCT FROM rn.gn""")
 
 # ---- sampling -------------------------------------------------------------------------------------------------------------------------
 HASH = f"md5(source_dataset || '|' || source_record_id || '|' || record_ordinal || '|{V.SEED}')"
