@@ -9,6 +9,9 @@ so that the bound stays at 1, all on k + 1 neighbouring diagonals
 of each side; diagonal bands of width 2k + 1 that overlap by 2k hold all of them together. Bands whose shared q-grams
 meet the bound are verified by banded alignment, free at both ends of the document side.
 
+Runs of one q-gram count by their range of diagonals, shared q-grams and alignments are worked off in slices, and equal
+alignments are done once, so a text of one letter repeated needs no more memory than another.
+
 Documents are never shuffled: the folded benchmark is read in blocks of at most ``BLOCK`` characters, each block's
 q-gram index is sent to all tasks, and each task streams its texts through it. Every document meets every block.
 
@@ -34,6 +37,7 @@ Q, WINDOW, PER_EDIT, BLOCK = 12, 96, 16, 1 << 22
 STRIDE = 8
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BITS = 22
+RUN, SLICE, ROWS = 1 << 8, 1 << 19, 1 << 12  # of equal q-grams; of shared ones held at once; of alignments held at once
 HITS = "rid long, doc_id long, item_id long, start long, end long, edits int, windows int"
 
 
@@ -113,32 +117,60 @@ class Index:
         bits[(found >> np.uint64(64 - BITS)).astype(np.int64)] = True
         return window[order].astype(np.int64), offset[order].astype(np.int64), found, first, count, bits
 
-    def hits(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, diagonal) of every q-gram shared with the folded characters."""
-        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    def _shared(self, chars: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(window, first diagonal, number of diagonals) of q-grams shared with the folded characters, in bounded slices.
+
+        A run of one q-gram in the text, as rulers and rows of zeros make it, is one row for each place in a window.
+        """
         for q, (window, offset, hashes, first, count, bits) in self.tables.items():
             found = grams(chars, q)
-            at = np.flatnonzero(bits[(found >> np.uint64(64 - BITS)).astype(np.int64)])
-            place = np.minimum(np.searchsorted(hashes, found[at]), len(hashes) - 1)
-            same = hashes[place] == found[at]
-            at, place = at[same], place[same]
-            many = count[place]
-            ends = np.cumsum(many)
-            posting = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - many, many) + np.repeat(first[place], many)
-            out.append((window[posting], np.repeat(at, many) - offset[posting]))
-        return np.concatenate([w for w, _ in out]), np.concatenate([d for _, d in out])
+            if not len(found):
+                continue
+            start = np.flatnonzero(np.concatenate([[True], (found[1:] != found[:-1]) | (np.arange(1, len(found)) % RUN == 0)]))
+            length = np.diff(np.append(start, len(found)))
+            maybe = np.flatnonzero(bits[(found[start] >> np.uint64(64 - BITS)).astype(np.int64)])
+            place = np.minimum(np.searchsorted(hashes, found[start[maybe]]), len(hashes) - 1)
+            same = hashes[place] == found[start[maybe]]
+            maybe, place = maybe[same], place[same]
+            for rows in (length[maybe] == 1, length[maybe] > 1):
+                at, long, here = start[maybe[rows]], length[maybe[rows]], place[rows]
+                ends = np.cumsum(count[here])
+                step = SLICE if not len(long) or long.max() == 1 else SLICE // RUN
+                for lo in range(0, int(ends[-1]) if len(ends) else 0, step):
+                    pair = np.arange(lo, min(lo + step, int(ends[-1])))
+                    run = np.searchsorted(ends, pair, side="right")
+                    posting = pair - (ends[run] - count[here[run]]) + first[here[run]]
+                    yield window[posting], at[run] - offset[posting], long[run]
 
     def bands(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, first diagonal) of the bands that hold enough shared q-grams; a band is 4k + 1 diagonals wide."""
-        window, diagonal = self.hits(chars)
-        diagonal = diagonal + WINDOW  # none below zero
-        step = 2 * self.edits[window] + 1
-        band = diagonal // step
-        wide = (diagonal - band * step < 2 * self.edits[window]) & (band > 0)  # also in the band before, which overlaps
-        window, band = np.concatenate([window, window[wide]]), np.concatenate([band, band[wide] - 1])
-        key, count = np.unique(window * (1 << 40) + band, return_counts=True)
-        window, band = key >> 40, key & ((1 << 40) - 1)
-        enough = count >= self.need[window]
+        keys, counts, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+
+        def summed() -> None:
+            key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+            total = np.bincount(inverse, np.concatenate(counts), minlength=len(key)).astype(np.int64)
+            keys[:], counts[:] = [key], [total]
+
+        for window, diagonal, long in self._shared(chars):
+            diagonal = diagonal + WINDOW  # none below zero
+            slack = 2 * self.edits[window]
+            step = slack + 1
+            lowest, highest = np.maximum((diagonal - slack) // step, 0), (diagonal + long - 1) // step
+            many = highest - lowest + 1
+            row = np.repeat(np.arange(len(many)), many)
+            band = lowest[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+            edge = band * step[row]
+            inside = np.minimum((diagonal + long)[row], edge + step[row] + slack[row]) - np.maximum(diagonal[row], edge)
+            key, inverse = np.unique(window[row] * (1 << 40) + band, return_inverse=True)
+            keys.append(key)
+            counts.append(np.bincount(inverse, inside, minlength=len(key)).astype(np.int64))
+            held += len(key)
+            if held > 4 * SLICE:
+                summed()
+                held = len(keys[0])
+        summed()
+        window, band = keys[0] >> 40, keys[0] & ((1 << 40) - 1)
+        enough = counts[0] >= self.need[window]
         window, band = window[enough], band[enough]
         return window, band * (2 * self.edits[window] + 1) - WINDOW
 
@@ -166,6 +198,18 @@ def align(patterns: np.ndarray, regions: np.ndarray, width: int) -> tuple[np.nda
     return cost[rows, last], origin[rows, last], patterns.shape[1] + last
 
 
+def _aligned(index: Index, chars: np.ndarray, window: np.ndarray, lo: np.ndarray, first: np.ndarray, past: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+    """``align`` of each window of n characters with its region, equal pairs once."""
+    width = 8 * (n // PER_EDIT) + 1
+    spots = lo[:, None] + np.arange(n + width)
+    inside = (spots >= first[:, None]) & (spots < past[:, None])
+    regions = np.where(inside, chars[np.clip(spots, 0, len(chars) - 1)], 0)
+    named = np.ascontiguousarray(np.column_stack([window.astype(np.uint32), regions.astype(np.uint32)]))
+    _, one, of = np.unique(named.view([("", np.uint32)] * named.shape[1]).ravel(), return_index=True, return_inverse=True)
+    patterns = np.stack([index.chars[w] for w in window[one].tolist()])
+    return tuple(x[of] for x in align(patterns, regions[one], width))
+
+
 def find(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int, int]]:
     """(text number, item, start, end, edits, windows) for each item with a window in a text; the best window's span."""
     chars, places, starts = fold(texts)
@@ -173,7 +217,7 @@ def find(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int,
     window, diagonal = index.bands(chars)
     middle = np.clip(diagonal + 2 * index.edits[window] + index.size[window] // 2, 0, len(chars) - 1)
     own = np.searchsorted(bounds, middle, side="right") - 1
-    best: dict[tuple[int, int], dict[int, tuple[int, int, int]]] = {}
+    rows = [np.zeros((0, 5), np.int64)]  # text, window, edits, start, end
     for n in np.unique(index.size[window]).tolist():
         k = n // PER_EDIT
         width = 8 * k + 1
@@ -181,23 +225,23 @@ def find(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int,
             doc = own + beside
             lo = diagonal - 2 * k
             fits = (index.size[window] == n) & (doc >= 0) & (doc < len(texts))
-            at = np.flatnonzero(fits)
-            first, past = bounds[doc[at]], bounds[doc[at] + 1] - 1
-            room = np.minimum(lo[at] + n + width, past) - np.maximum(lo[at], first) >= n - k
-            at, first, past = at[room], first[room], past[room]
-            if not len(at):
-                continue
-            spots = lo[at][:, None] + np.arange(n + width)
-            inside = (spots >= first[:, None]) & (spots < past[:, None])
-            regions = np.where(inside, chars[np.clip(spots, 0, len(chars) - 1)], 0)
-            patterns = np.stack([index.chars[w] for w in window[at].tolist()])
-            edits, begin, end = align(patterns, regions, width)
-            for r in np.flatnonzero(edits <= k).tolist():
-                d, w = int(doc[at[r]]), int(window[at[r]])
-                a, b = max(int(lo[at[r]] + begin[r]), int(first[r])), min(int(lo[at[r]] + end[r]), int(past[r]))
-                span = (int(edits[r]), int(places[a] - starts[d]), int(places[b - 1] + 1 - starts[d]))
-                windows = best.setdefault((d, index.item[w]), {})
-                windows[w] = min(windows.get(w, span), span)
+            every = np.flatnonzero(fits)
+            first, past = bounds[doc[every]], bounds[doc[every] + 1] - 1
+            room = np.minimum(lo[every] + n + width, past) - np.maximum(lo[every], first) >= n - k
+            every, first, past = every[room], first[room], past[room]
+            for part in range(0, len(every), ROWS):
+                at, left, right = (x[part : part + ROWS] for x in (every, first, past))
+                edits, begin, end = _aligned(index, chars, window[at], lo[at], left, right, n)
+                ok = edits <= k
+                a, b = np.maximum(lo[at] + begin, left)[ok], np.minimum(lo[at] + end, right)[ok]
+                d = doc[at][ok]
+                near = np.column_stack([d, window[at][ok], edits[ok], places[a] - starts[d], places[b - 1] + 1 - starts[d]])
+                near = near[np.lexsort(near.T[::-1])]
+                rows.append(near[np.concatenate([[True], (near[1:, :2] != near[:-1, :2]).any(axis=1)])[: len(near)]])  # the best of each text and window
+    best: dict[tuple[int, int], dict[int, tuple[int, int, int]]] = {}
+    for d, w, *span in np.concatenate(rows).tolist():
+        windows = best.setdefault((d, index.item[w]), {})
+        windows[w] = min(windows.get(w, tuple(span)), tuple(span))
     out = []
     for (d, item), windows in sorted(best.items()):
         edits, start, end = min(windows.values())

@@ -114,3 +114,25 @@ def test_queries_take_the_small_stride(spark, tmp_path):
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert QUERIES["op6_decontaminate"](spark, str(tmp_path)).count() == 48
     assert corpus_pipeline.without_benchmark(spark, docs, str(tmp_path)).count() == 0
+
+
+def test_a_long_run_of_one_character(spark):
+    """A ruler of 200,000 characters against an item that holds one: one hit, in bounded memory."""
+    import resource
+    index = D.Index([(1, "-" * 300), (2, "a table " + "=-" * 60)], D.STRIDE)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    found = D.find(index, ["x " + "-" * 200_000, "", "=-" * 2000 + "\n" + "-" * 40])
+    assert [(d, item, edits) for d, item, _, _, edits, _ in found] == [(0, 1, 0), (2, 2, 0)]
+    assert found[0][4] >= 0 and all(b - a == 96 for _, _, a, b, _, _ in found)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000  # KB
+
+
+def test_slices_change_nothing(monkeypatch):
+    rng = random.Random(4)
+    items = [(i, "".join(rng.choice("ab =-") for _ in range(rng.choice([14, 40, 96, 250])))) for i in range(12)]
+    texts = [items[i % 12][1][rng.randrange(60):] + "=" * rng.randrange(50) + items[i % 7][1] for i in range(30)]
+    index = D.Index(items, D.STRIDE)
+    whole = D.find(index, texts)
+    for name, value in (("SLICE", 512), ("RUN", 16), ("ROWS", 7)):
+        monkeypatch.setattr(D, name, value)
+    assert D.find(index, texts) == whole and len(whole) > 20
