@@ -17,7 +17,7 @@ q-gram index is sent to all tasks, and each task streams its texts through it. E
 
 NULL and empty texts, items or ids: a NULL item text is skipped, a NULL text has no hits, NULL ids are carried. Items
 that fold to fewer than ``Q`` characters cannot be evidence and are skipped. Repeated rows and items are answered row
-by row. Empty tables give an empty result or all documents; other columns are carried by ``clean`` only.
+by row; document ids may be of any type. Empty tables give an empty result or all documents; other columns are carried by ``clean`` only.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ STRIDE = 8
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BITS = 22
 RUN, SLICE, ROWS = 1 << 8, 1 << 19, 1 << 12  # of equal q-grams; of shared ones held at once; of alignments held at once
-HITS = "rid long, doc_id long, item_id long, start long, end long, edits int, windows int"
+HITS = "rid long, doc_id {}, item_id long, start long, end long, edits int, windows int"
 
 
 @cache
@@ -262,6 +262,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, stride: int) ->
 def leaks(rows: DataFrame, benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", stride: int = WINDOW // 2) -> DataFrame:
     """``rows``: rid, doc_id, text. One row for each (row, item) with a match: ``HITS``."""
     spark, found = rows.sparkSession, None
+    schema = HITS.format(rows.schema["doc_id"].dataType.simpleString())
     for items in _blocks(benchmark, item_col, text_col, stride):
         index = spark.sparkContext.broadcast(Index(items, stride))
 
@@ -269,28 +270,25 @@ def leaks(rows: DataFrame, benchmark: DataFrame, item_col: str = "item_id", text
             for batch in runs(batches):
                 hits = find(index.value, batch.column("text").to_pylist())
                 if hits:
-                    rid, ids = batch.column("rid").to_pylist(), batch.column("doc_id").to_pylist()
-                    yield pa.RecordBatch.from_pylist([
-                        {"rid": rid[d], "doc_id": ids[d], "item_id": item, "start": a, "end": b, "edits": e, "windows": w}
-                        for d, item, a, b, e, w in hits], schema=SCHEMA)
+                    at, *rest = (pa.array(x, pa.int64()) for x in zip(*hits, strict=True))
+                    item, start, end, edits, windows = rest
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("rid").take(at), batch.column("doc_id").take(at), item, start, end, edits.cast(pa.int32()), windows.cast(pa.int32())],
+                        ["rid", "doc_id", "item_id", "start", "end", "edits", "windows"])
 
-        part = rows.mapInArrow(search, HITS)
+        part = rows.mapInArrow(search, schema)
         found = part if found is None else found.unionByName(part)
-    return found if found is not None else spark.createDataFrame([], HITS)
-
-
-SCHEMA = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()),
-                    ("edits", pa.int32()), ("windows", pa.int32())])
+    return found if found is not None else spark.createDataFrame([], schema)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", stride: int = WINDOW // 2) -> DataFrame:
     """doc_id, item_id, start, end (code points of the best window's region), edits, windows (that match)."""
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     return leaks(rows, benchmark, stride=stride).drop("rid")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", stride: int = WINDOW // 2) -> DataFrame:
     """The documents in which no item was found, with all their columns."""
     whole = numbered(docs)
-    rows = whole.select("rid", F.col(f"row.{id_col}").cast("long").alias("doc_id"), text_of(F.col(f"row.{text_col}")).alias("text"))
+    rows = whole.select("rid", F.col(f"row.`{id_col}`").alias("doc_id"), text_of(F.col(f"row.`{text_col}`")).alias("text"))
     return without(whole, cut(leaks(rows, benchmark, stride=stride).select("rid")).distinct())

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskgraph.llm.common import held_out, runs, text_of
 from riskgraph.operators.lineage import cut
@@ -152,7 +153,7 @@ def keep_known(docs: DataFrame, model: Model | None, text_col: str = "text") ->
 def _scored(rows: DataFrame, model: Model | None) -> DataFrame:
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema if f.name != 'text')}, lang_pred string, score double"
+    schema = T.StructType([*(f for f in rows.schema if f.name != "text"), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches, limit=BATCH):

@@ -31,9 +31,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import numbered, runs, text_of
+from riskgraph.llm.common import join_groups, numbered, runs, text_of
 from riskgraph.llm.simhash import components
-from riskgraph.operators.lineage import cut
+from riskgraph.operators.lineage import cut, scope
 
 SHORT, MOST = 20, 2
 UNIT = 2048
@@ -117,7 +117,7 @@ def _names(lines: list[str]) -> tuple[list[bytes], np.ndarray]:
     return names, (front & ~np.uint64(1)).view(np.int64)
 
 
-LINES = "rid long, doc_id long, line_no int, line binary, short long, signs long, own array<long>, probes array<long>"
+LINES = "rid long, doc_id {}, line_no int, line binary, short long, signs long, own array<long>, probes array<long>"
 
 
 def lines_of(rows: DataFrame) -> DataFrame:
@@ -143,7 +143,7 @@ def lines_of(rows: DataFrame) -> DataFrame:
                 [batch.column("rid").take(doc), batch.column("doc_id").take(doc), pa.array(number.astype(np.int32)), pa.array(names, pa.binary()), pa.array(short),
                  pa.array(_signs(chars, sizes, starts)), *lists], ["rid", "doc_id", "line_no", "line", "short", "signs", "own", "probes"])
 
-    return rows.mapInArrow(each, LINES)
+    return rows.mapInArrow(each, LINES.format(rows.schema["doc_id"].dataType.simpleString()))
 
 
 def texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -316,16 +316,19 @@ def links(rows: DataFrame, classes: DataFrame, unit: int = UNIT) -> DataFrame:
 
 def _resolved(rows: DataFrame, unit: int) -> DataFrame:
     """Every line of ``rows`` (rid, doc_id, text): rid, doc_id, line_no, line, class, n_links, first (of the class)."""
-    lines = cut(lines_of(rows))
+    spark = rows.sparkSession
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no", "rid")
-    classes = lines.groupBy("line").agg(F.first("short").alias("short"), F.first("signs").alias("signs"), F.first("own").alias("own"), F.first("probes").alias("probes"))
-    found = cut(links(rows, classes, unit))
-    degree = found.select(F.explode(F.array("left", "right")).alias("line")).groupBy("line").agg(F.count(F.lit(1)).alias("n_links"))
-    roots = cut(components(found).select(F.col("node").alias("line"), F.col("root").alias("class")).join(degree, "line"))
-    known = lines.select("rid", "doc_id", "line_no", "line").join(roots, "line", "left").select(
-        "rid", "doc_id", "line_no", "line", F.coalesce("class", "line").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    leads = known.groupBy("class").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("class_size"))
-    return known.join(leads, "class")
+    with scope(spark):
+        lines = cut(lines_of(rows))
+        with scope(spark):
+            classes = lines.groupBy("line").agg(F.first("short").alias("short"), F.first("signs").alias("signs"), F.first("own").alias("own"), F.first("probes").alias("probes"))
+            found = cut(links(rows, classes, unit), lasting=True)
+        degree = found.select(F.explode(F.array("left", "right")).alias("line")).groupBy("line").agg(F.count(F.lit(1)).alias("n_links"))
+        roots = cut(components(found).select(F.col("node").alias("line"), F.col("root").alias("class")).join(degree, "line"))
+        known = cut(lines.select("rid", "doc_id", "line_no", "line").join(roots, "line", "left").select(
+            "rid", "doc_id", "line_no", "line", F.coalesce("class", "line").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links")), lasting=True)
+        leads = cut(known.groupBy("class").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("class_size")), lasting=True)
+        return join_groups(known, leads, "class", "class_size")
 
 
 KEPT = "rid = first.rid AND line_no = first.line_no"
@@ -333,7 +336,7 @@ KEPT = "rid = first.rid AND line_no = first.line_no"
 
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: int = UNIT) -> DataFrame:
     """One row for each line: doc_id, line_no, line_hash, class_hash, class_size, n_links, first_doc_id, first_line_no, kept."""
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return _resolved(rows, unit).select(
         "doc_id", "line_no", F.lower(F.hex("line")).alias("line_hash"), F.lower(F.hex("class")).alias("class_hash"), "class_size", "n_links",
         F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"), F.expr(KEPT).alias("kept"))
@@ -342,9 +345,9 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: int = UNIT) -> DataFrame:
     """The documents with all their columns and only the lines that stay (and blank ones) in their texts."""
     whole = numbered(docs)
-    rows = whole.select("rid", F.col(f"row.{id_col}").cast("long").alias("doc_id"), F.col(f"row.{text_col}").cast("string").alias("text"))
+    rows = whole.select("rid", F.col(f"row.`{id_col}`").alias("doc_id"), F.col(f"row.`{text_col}`").cast("string").alias("text"))
     gone = _resolved(rows, unit).where(f"NOT ({KEPT})").groupBy("rid").agg(F.collect_list("line_no").alias("gone"))
-    lines = F.split(F.col(f"row.{text_col}"), "\n", -1)
+    lines = F.split(F.col(f"row.`{text_col}`"), "\n", -1)
     left = F.filter(lines, lambda x, i: (F.trim(F.translate(x, "\t\r\x0b\x0c", "    ")) == "") | ~F.array_contains(F.col("gone"), i))
-    text = F.when(F.col("gone").isNull(), F.col(f"row.{text_col}")).otherwise(F.array_join(left, "\n"))
+    text = F.when(F.col("gone").isNull(), F.col(f"row.`{text_col}`")).otherwise(F.array_join(left, "\n"))
     return whole.join(gone, "rid", "left").select(F.col("row").withField(text_col, text).alias("row")).select("row.*")

@@ -13,7 +13,7 @@ budget. A task returns a spanning forest of its links, not all pairs of a dense
 components of these links, by alternating large and small stars over tables in the shared folder.
 
 NULL and blank texts have fingerprint zero and link like any other. Copies, repeated rows and repeated ids meet in
-their fingerprint. A component's id is its smallest document id; NULL ids are carried but never chosen, unless there
+their fingerprint. A component's id is its smallest document id, of any type; NULL ids are carried but never chosen, unless there
 is no other. An empty table gives an empty result; other columns are carried by ``keep_one`` and ignored elsewhere.
 """
 
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import numbered, runs, text_of, without
+from riskgraph.llm.common import join_groups, numbered, runs, text_of, without
 from riskgraph.operators.lineage import cut
 
 WORDS, MAX_BITS, SEED = 3, 3, 42
@@ -59,7 +59,7 @@ def fingerprints(rows: DataFrame, words: int = WORDS) -> DataFrame:
             bits = np.array([fingerprint(t, words) for t in batch.column("text").to_pylist()], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), pa.array(bits)], ["rid", "doc_id", "fp"])
 
-    return rows.mapInArrow(each, "rid long, doc_id long, fp long")
+    return rows.mapInArrow(each, f"rid long, doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
 # ---- the trie self-join ------------------------------------------------------------------------------------
@@ -236,17 +236,17 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    return docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
 
 
 def _labelled(prints: DataFrame, max_bits: int, unit: int) -> DataFrame:
     """``prints``: rid, doc_id, fp. Adds ``first``, the (no id, id, rid) of the component's first row."""
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")
-    firsts = cut(prints.groupBy("fp").agg(F.min(order).alias("first")))
+    firsts = cut(prints.groupBy("fp").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("size")), lasting=True)
     roots = cut(components(links(firsts.select("fp"), max_bits, unit)).withColumnRenamed("node", "fp"))
     of_root = roots.join(firsts, "fp").groupBy("root").agg(F.min("first").alias("lead"))
-    led = firsts.join(roots.join(of_root, "root").select("fp", "lead"), "fp", "left").select("fp", F.coalesce("lead", "first").alias("first"))
-    return prints.join(led, "fp")
+    led = firsts.join(roots.join(of_root, "root").select("fp", "lead"), "fp", "left").select("fp", F.coalesce("lead", "first").alias("first"), "size")
+    return join_groups(prints, cut(led, lasting=True), "fp", "size")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, max_bits: int = MAX_BITS, unit: int = UNIT) -> DataFrame:
@@ -258,5 +258,5 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, max_bits: int = MAX_BITS, unit: int = UNIT) -> DataFrame:
     """The documents, one of each component (smallest id, then the row read first), with all their columns."""
     whole = numbered(docs)
-    rows = whole.select("rid", F.col(f"row.{id_col}").cast("long").alias("doc_id"), text_of(F.col(f"row.{text_col}")).alias("text"))
+    rows = whole.select("rid", F.col(f"row.`{id_col}`").alias("doc_id"), text_of(F.col(f"row.`{text_col}`")).alias("text"))
     return without(whole, _labelled(cut(fingerprints(rows, words)), max_bits, unit).where(F.col("rid") != F.col("first.rid")))
