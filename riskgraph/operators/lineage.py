@@ -33,7 +33,7 @@ class _Open(threading.local):
     """The scopes that are open in this thread, each with the paths it removes at its end and those it leaves."""
 
     def __init__(self) -> None:
-        self.scopes: list[tuple[list[str], list[str]]] = []
+        self.scopes: list[tuple[list[str], list[str], bool]] = []
 
 
 _open = _Open()
@@ -51,14 +51,15 @@ def release(spark: SparkSession) -> None:
 
 
 @contextmanager
-def scope(spark: SparkSession) -> Iterator[list[str]]:
+def scope(spark: SparkSession, around: bool = False) -> Iterator[list[str]]:
     """Remove the cuts made inside as soon as it ends, but for ``lasting`` ones, whose paths it gives to its user.
 
     An operator whose steps all run inside needs the disk of its intermediate tables only while it works; what its
-    result still reads is cut as ``lasting``.
+    result still reads is cut as ``lasting``. What lasts beyond an inner scope goes with the outer one, unless that is
+    ``around`` whole operators and hands on their lazy results.
     """
     passing, lasting = [], []
-    _open.scopes.append((passing, lasting))
+    _open.scopes.append((passing, lasting, around))
     try:
         yield lasting
     finally:
@@ -66,7 +67,7 @@ def scope(spark: SparkSession) -> Iterator[list[str]]:
         for path in passing:
             _remove(spark, path)
         if _open.scopes:
-            _open.scopes[-1][1].extend(lasting)
+            _open.scopes[-1][_open.scopes[-1][2]].extend(lasting)
 
 
 def discard(spark: SparkSession, paths: Iterable[str], unless_read_by: DataFrame) -> None:
