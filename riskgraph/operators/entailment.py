@@ -73,6 +73,38 @@ def inferred_triples(graph: DataFrame, schema: DataFrame | None = None, skip_sub
     return triples.groupBy(*TRIPLE_COLUMNS).agg(F.every("_new").alias("_fresh")).where("_fresh").select(*TRIPLE_COLUMNS)
 
 
+def entailed_delta(new: DataFrame, stored: DataFrame, inferred: DataFrame, schema: DataFrame, skip_subclass: bool = False) -> tuple[DataFrame, DataFrame]:
+    """What a run of ``new`` triples changes in the ``inferred`` ones of a ``stored`` graph: (added, removed).
+
+    Added is what the new triples entail and neither side asserts or has inferred; removed is what was inferred and is
+    now asserted. ``inferred_triples`` of everything equals ``inferred`` less the removed and with the added. Only the new
+    triples are entailed. Of the stored graph only triples that an inference could repeat are read: those of the
+    predicates that stand above others, and types by a class above others; a graph partitioned by predicate reads no
+    other folder.
+    """
+    derived = inferred_triples(new, schema, skip_subclass)
+    heads = [r.parent for r in closure(schema_edges(schema, V.RDFS_SUBPROPERTY)).select("parent").distinct().collect()]  # of the schema
+    repeatable = F.col("p").isin(*heads)
+    if not skip_subclass:
+        tops = closure(schema_edges(schema, V.RDFS_SUBCLASS)).select(F.col("parent").alias("o")).distinct()
+        typed = lookup_join(stored.where(F.col("p") == V.RDF_TYPE), tops, "o", "left_semi").select(*TRIPLE_COLUMNS)
+        known = stored.where(repeatable & (F.col("p") != V.RDF_TYPE)).select(*TRIPLE_COLUMNS).unionByName(typed)
+    else:
+        known = stored.where(repeatable).select(*TRIPLE_COLUMNS)
+    marked = derived.withColumn("_new", F.lit(True)).unionByName(known.unionByName(inferred.select(*TRIPLE_COLUMNS)).withColumn("_new", F.lit(False)))
+    added = marked.groupBy(*TRIPLE_COLUMNS).agg(F.every("_new").alias("_fresh")).where("_fresh").select(*TRIPLE_COLUMNS)
+    asserted = new.select(*TRIPLE_COLUMNS, F.lit(True).alias("_asserted")).unionByName(inferred.select(*TRIPLE_COLUMNS, F.lit(False).alias("_asserted")))
+    both = asserted.groupBy(*TRIPLE_COLUMNS).agg(F.some("_asserted").alias("_a"), F.some(~F.col("_asserted")).alias("_i"))
+    return added, both.where("_a AND _i").select(*TRIPLE_COLUMNS)
+
+
+def with_delta(inferred: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame:
+    """The inferred triples after a run."""
+    marked = inferred.select(*TRIPLE_COLUMNS, F.lit(1).alias("_n")).unionByName(removed.select(*TRIPLE_COLUMNS, F.lit(-1).alias("_n")))
+    left = marked.groupBy(*TRIPLE_COLUMNS).agg(F.sum("_n").alias("_n")).where("_n > 0").select(*TRIPLE_COLUMNS)
+    return left.unionByName(added.select(*TRIPLE_COLUMNS))
+
+
 def _parents(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("child").agg(F.collect_set("parent").alias("parents"))
 

@@ -677,3 +677,9 @@ SELECT '_:d' || doc_id AS s, 'urn:in' AS p, '_:' || source AS o, 'iri' AS o_kind
 UNION ALL SELECT 'urn:d:' || doc_id, 'urn:lang', 'urn:l:' || lang, 'iri', NULL FROM documents
 UNION ALL SELECT 'urn:d:' || doc_id, 'urn:note', 'é ' || chr(92) || source, 'literal', '@' || lang FROM documents
 UNION ALL SELECT 'malformed', 'urn:line', '<urn:d:' || doc_id || '> broken ' || source, 'literal', NULL FROM documents"""
+
+# ---- other ways to results above ------------------------------------------------------------------------------------------------------
+SQL["hz_measurements_merged"], SQL["hz_profile_merged"] = SQL["hz_measurements"], SQL["hz_profile"]
+SQL["kg_incremental"], SQL["pat_by_subject"] = SQL["kg_rdfs7"], SQL["pat_05_multi_source_groups"]
+SQL["dq_one_write"], SQL["dq_one_write_quarantine"] = SQL["dq_rule_metrics"], SQL["dq_quarantine"]
+SQL["io_published"] = "SELECT * FROM supplier"

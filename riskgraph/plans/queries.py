@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,13 @@ from riskgraph import vocabulary as V
 from riskgraph.functions import iri, standardise as st, vectors
 from riskgraph.functions.names import normalize_columns
 from riskgraph.operators import (
-    comparison, contracts, embedding, entailment, features, formatting, harmonise, metrics, models, patterns, sampling,
-    triples,
+    comparison, contracts, embedding, entailment, features, formatting, harmonise, metrics, models, partials, patterns,
+    sampling, triples,
 )
 from riskgraph.operators.lineage import cut, scratch
+from riskgraph.plans import zones
 from riskgraph.plans.bindings import EVENTS_CONTRACT, LINEITEM_CONTRACT, RUN_ID, RUN_TS, Tables, events_from, lineitem_from
-from riskgraph.sources import ntriples, snapshots
+from riskgraph.sources import ntriples, snapshots, tables
 from riskgraph.streaming.ingest import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,6 +216,26 @@ def hz_measurements(t: Tables) -> DataFrame:
     return harmonise.aggregate_measurements(t.canonical)
 
 
+def _by_runs(t: Tables, states: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The canonical rows as three runs, each aggregated alone and stored; all states read back."""
+    root = _scratch(t)
+    canonical = t.zone.canonical
+    part = F.pmod(F.xxhash64("source_record_id"), F.lit(3))
+    for run in range(3):
+        snapshots.write_run(states(canonical.where(part == run)), root, "states", f"run-{run}")
+    return t.spark.read.parquet(f"{root}/states")
+
+
+@register
+def hz_measurements_merged(t: Tables) -> DataFrame:
+    return partials.merged_measurements(_by_runs(t, partials.measurement_states))
+
+
+@register
+def hz_profile_merged(t: Tables) -> DataFrame:
+    return partials.merged_profile(_by_runs(t, partials.profile_states), RUN_TS)
+
+
 @register
 def hz_top_violations(t: Tables) -> DataFrame:
     return harmonise.top_violations(t.trusted.quality)
@@ -321,6 +343,18 @@ def kg_rdfs7(t: Tables) -> DataFrame:
     return entailment.inferred_triples(t.full, t.schema, skip_subclass=True)
 
 
+@register
+def kg_incremental(t: Tables) -> DataFrame:
+    """The graph as two runs: the second one's delta against the stored entailment of the first."""
+    root = _scratch(t)
+    t.full.withColumn("late", F.pmod(F.xxhash64("s"), F.lit(4)) == 0).write.partitionBy("late", "p").parquet(f"{root}/graph")
+    graph = t.spark.read.schema(f"{triples.TRIPLE_SCHEMA}, late boolean").parquet(f"{root}/graph")
+    new, stored = graph.where("late").drop("late"), graph.where("not late").drop("late")
+    inferred = cut(entailment.inferred_triples(stored, t.schema, skip_subclass=True))
+    added, removed = entailment.entailed_delta(new, stored, inferred, t.schema, skip_subclass=True)
+    return entailment.with_delta(inferred, added, removed)
+
+
 @register
 def kg_rdfs9(t: Tables) -> DataFrame:
     return entailment.inferred_triples(t.analytics, t.schema)
@@ -684,6 +718,38 @@ def ml_importance(t: Tables) -> DataFrame:
     return models.feature_importance(trained.selected.model, trained.selected.names)
 
 
+@register
+def pat_by_subject(t: Tables) -> DataFrame:
+    """Groups of several sources from a stored graph that is bucketed by subject."""
+    stored = tables.write_by_subject(
+        t.record_graph("belongsToPopulationGroup", "fromDataset"), f"by_subject_{uuid.uuid4().hex}", 8, f"{_scratch(t)}/graph")
+    return patterns.multi_source_groups(stored)
+
+
+@register
+def dq_one_write(t: Tables) -> DataFrame:
+    """Metrics of all sources, each observed while one write made its clean rows and its quarantine."""
+    return zones.assemble_trusted([e.split() for e in t.evaluated.values()]).quality
+
+
+@register
+def dq_one_write_quarantine(t: Tables) -> DataFrame:
+    return zones.assemble_trusted([e.split() for e in t.evaluated.values()]).quarantine
+
+
+@register
+def io_published(t: Tables) -> DataFrame:
+    """Two runs of a table; the pointer moves to the second, obsolete pointers go, and the published rows are read."""
+    root, database = _scratch(t), f"zone_{uuid.uuid4().hex}"
+    supplier = t.read("supplier")
+    for run, rows in (("run-a", supplier.where("s_acctbal > 0")), ("run-b", supplier)):
+        snapshots.write_run(rows, root, "supplier", run)
+        tables.publish_run(t.spark, root, database, {"kept": "supplier", "obsolete": "supplier"}, run)
+    tables.drop_obsolete(t.spark, database, ["kept"])
+    names = [r.table_name for r in tables.list_tables(t.spark, database).collect()]
+    return tables.read_tables(t.spark, database, names)["kept"]
+
+
 # ---- sources, sinks, streams --------------------------------------------------------------------------------
 def _scratch(t: Tables) -> str:
     return scratch(t.spark, "io")

@@ -16,12 +16,12 @@ def replace_table(df: DataFrame, database: str, table: str) -> None:
 
 
 def drop_obsolete(spark: SparkSession, database: str, allowed: Iterable[str]) -> list[str]:
-    """Drop the tables of a database that are not in the allow-list."""
+    """Drop the tables and pointers of a database that are not in the allow-list."""
     keep = set(allowed)
-    obsolete = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary and t.name not in keep]
-    for name in obsolete:
-        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
-    return sorted(obsolete)
+    obsolete = [t for t in spark.catalog.listTables(database) if not t.isTemporary and t.name not in keep]
+    for t in obsolete:
+        spark.sql(f"DROP {'VIEW' if t.tableType == 'VIEW' else 'TABLE'} IF EXISTS `{database}`.`{t.name}`")
+    return sorted(t.name for t in obsolete)
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
@@ -34,9 +34,59 @@ def read_tables(spark: SparkSession, database: str, tables: Iterable[str]) -> di
 
 
 def publish_run(spark: SparkSession, root: str, database: str, tables: Mapping[str, str], run_id: str) -> None:
-    """Replace published tables (name -> snapshot table) by the snapshots of one run."""
+    """Point published tables (name -> snapshot table) at the snapshots of one run: all of them or none.
+
+    A published table is a view on the run's files, so no row is copied. All runs are resolved before the first
+    pointer moves, so one that is missing or has no files leaves everything as it was; a pointer that cannot move
+    takes back those that have.
+    """
+    queries = {}
     for table, snapshot in tables.items():
-        replace_table(read_run(spark, root, snapshot, run_id), database, table)
+        run = read_run(spark, root, snapshot, run_id)
+        if not run.columns or run.isEmpty() and not _has_run(spark, root, snapshot, run_id):
+            raise FileNotFoundError(f"no run {run_id} of {snapshot} under {root}")
+        columns = ", ".join(f"`{c}`" for c in run.columns)
+        queries[table] = f"SELECT {columns} FROM parquet.`{root}/{snapshot}` WHERE run_partition = '{run_id}'"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    moved: list[tuple[str, str | None]] = []
+    try:
+        for table, query in queries.items():
+            before = _pointer(spark, database, table)
+            moved.append((table, before))
+            _point(spark, database, table, query)
+    except Exception:
+        for table, before in reversed(moved):
+            if before is None:
+                spark.sql(f"DROP VIEW IF EXISTS `{database}`.`{table}`")
+            else:
+                _point(spark, database, table, before)
+        raise
+
+
+def _point(spark: SparkSession, database: str, table: str, query: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{table}` AS {query}")
+
+
+def _has_run(spark: SparkSession, root: str, snapshot: str, run_id: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{snapshot}/run_partition={run_id}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def _pointer(spark: SparkSession, database: str, table: str) -> str | None:
+    """The query behind a published table, if there is one."""
+    if not spark.catalog.tableExists(f"`{database}`.`{table}`"):
+        return None
+    text = [r.data_type for r in spark.sql(f"DESCRIBE EXTENDED `{database}`.`{table}`").collect() if r.col_name == "View Text"]
+    if not text:
+        raise ValueError(f"{database}.{table} is a table, not a published pointer")
+    return text[0]
+
+
+def write_by_subject(graph: DataFrame, name: str, buckets: int, path: str | None = None) -> DataFrame:
+    """A triple table bucketed and sorted by subject: stars and joins on a subject read it without a shuffle."""
+    writer = graph.repartition(buckets, "s").write.mode("overwrite").bucketBy(buckets, "s").sortBy("s")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return graph.sparkSession.table(name)
 
 
 MANIFEST_SCHEMA = (
