@@ -506,7 +506,7 @@ ranks AS (SELECT id, 1 + count(*) FILTER (WHERE v.vec_id <> target AND list_inne
 SELECT round(avg(1.0 / r), 9) AS mrr, round(avg(CASE WHEN r <= 10 THEN 1.0 ELSE 0.0 END), 9) AS hits_at_10, round(avg(r), 9) AS mean_rank,
   count(*) AS ranked FROM ranks"""
 SQL["emb_rank_filtered"] = """
-WITH v AS (SELECT vec_id, label, list_transform(CAST(embedding AS DOUBLE[])[1:8], lambda x: CASE WHEN x > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS e FROM embeddings),
+WITH v AS (SELECT vec_id, label, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CASE WHEN x > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS e FROM embeddings),
 asked AS (SELECT a.vec_id AS id, b.vec_id AS target, b.label AS wanted, a.e AS e, list_inner_product(a.e, b.e) AS own FROM v a JOIN v b ON b.vec_id = a.vec_id + 1),
 ranks AS (SELECT id, 1 + sum(CASE WHEN v.vec_id = target OR v.label IS NOT DISTINCT FROM wanted THEN 0.0 WHEN list_inner_product(asked.e, v.e) > own + 1e-9 THEN 1.0
   WHEN abs(list_inner_product(asked.e, v.e) - own) <= 1e-9 THEN 0.5 ELSE 0.0 END) AS r FROM asked, v GROUP BY id)
@@ -683,3 +683,20 @@ SQL["hz_measurements_merged"], SQL["hz_profile_merged"] = SQL["hz_measurements"]
 SQL["kg_incremental"], SQL["pat_by_subject"] = SQL["kg_rdfs7"], SQL["pat_05_multi_source_groups"]
 SQL["dq_one_write"], SQL["dq_one_write_quarantine"] = SQL["dq_rule_metrics"], SQL["dq_quarantine"]
 SQL["io_published"] = "SELECT * FROM supplier"
+
+# ---- scalars over given columns -------------------------------------------------------------------------------------------------------
+SQL["sc_flags_of_text"] = r"""
+WITH w AS (SELECT 'event' AS kind, event_id AS id, regexp_extract(props, '"k": *([^,}]*)', 1) AS word FROM events
+  UNION ALL SELECT 'document', doc_id, regexp_extract(text, '^[ \t\n\x0B\f\r]*([^ \t\n\x0B\f\r]+)', 1) FROM documents WHERE text IS NOT NULL),
+l AS (SELECT kind, id, lower(trim(word)) AS t, CASE WHEN regexp_full_match(trim(word), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?[dDfF]?')
+  THEN CAST(regexp_replace(trim(word), '[dDfF]$', '') AS DOUBLE) END AS x FROM w),
+m AS (SELECT *, CASE WHEN regexp_full_match(t, '-?[0-9]+([.][0-9]+)?') THEN CAST(t AS DOUBLE) END AS n FROM l)
+SELECT kind, id, CASE WHEN t IN ('1', '1.0', 'true', 'yes', 'y') THEN true WHEN t IN ('0', '0.0', 'false', 'no', 'n') THEN false END AS flag,
+  CASE WHEN n > 0 THEN true WHEN n = 0 THEN false WHEN t IN ('true', 'yes', 'y') THEN true WHEN t IN ('false', 'no', 'n') THEN false END AS flag_or_positive,
+  x AS number, CASE WHEN abs(x) < 2147483648 THEN CAST(trunc(x) AS INTEGER) END AS whole FROM m"""
+_K = "CAST(regexp_extract(props, '\"k\": *([^,}]*)', 1) AS INTEGER)"
+SQL["sc_bands_of_text"] = f"SELECT event_id, band, CAST({midpoint_of('band')} AS DOUBLE) AS midpoint FROM (SELECT event_id, {_K} AS band FROM events)"
+_KIND = "CASE " + " ".join(f"WHEN starts_with(node, {HR} || '{prefix}') THEN '{kind}'" for prefix, kind in V.NODE_KINDS) + (
+    f" WHEN contains(node, '{V.PREDICATE_MARK}') THEN 'predicate' ELSE 'other' END")
+SQL["sc_kinds_of_graph"] = graph(
+    f"SELECT {_KIND} AS kind, count(*) AS nodes FROM (SELECT s AS node FROM full_g UNION SELECT o FROM full_g WHERE o_kind = 'iri') GROUP BY 1")

@@ -81,6 +81,32 @@ def _odd_texts() -> list:
     return [F.get(F.array(*map(F.lit, words)), (F.col("event_id") % len(words)).cast("int")).alias("word")]
 
 
+@register
+def sc_flags_of_text(t: Tables) -> DataFrame:
+    """Flags and numbers as the text of ``events.props`` and the first word of each document give them."""
+    number = F.regexp_extract("props", '"k": *([^,}]*)', 1)
+    events = t.read("events").select(F.lit("event").alias("kind"), F.col("event_id").alias("id"), number.alias("word"))
+    first = F.regexp_extract("text", r"^\s*(\S+)", 1)
+    docs = t.read("documents").where("text is not null").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), first.alias("word"))
+    return events.unionByName(docs).select(
+        "kind", "id", st.parse_binary(F.col("word")).alias("flag"), st.parse_binary_or_positive(F.col("word")).alias("flag_or_positive"),
+        st.to_double(F.col("word")).alias("number"), st.to_int(F.col("word")).alias("whole"))
+
+
+@register
+def sc_bands_of_text(t: Tables) -> DataFrame:
+    """Bands and their midpoints as the text of ``events.props`` names them."""
+    band = st.age_band_of_label(F.regexp_extract("props", '"k": *([^,}]*)', 1))
+    return t.read("events").select("event_id", band.alias("band"), st.age_band_midpoint(band).alias("midpoint"))
+
+
+@register
+def sc_kinds_of_graph(t: Tables) -> DataFrame:
+    """Nodes of the full graph by kind."""
+    nodes = t.full.select(F.explode(F.array("s", F.when(F.col("o_kind") == "iri", F.col("o")))).alias("node")).where("node is not null").distinct()
+    return nodes.groupBy(iri.node_kind(F.col("node")).alias("kind")).agg(F.count(F.lit(1)).alias("nodes"))
+
+
 @register
 def sc_parse_class(t: Tables) -> DataFrame:
     parsed = st.parse_gender(F.col("o_orderstatus"), ("f", "female"), ("o", "male"))
@@ -475,7 +501,7 @@ def emb_rank_metrics(t: Tables) -> DataFrame:
 def emb_rank_filtered(t: Tables) -> DataFrame:
     """As above, over coarse vectors that tie often: ties count a half, other vectors of the target's label are left out."""
     coarse = F.transform("vec", lambda x: F.when(x > 0, 1.0).otherwise(0.0))
-    v = cut(_vec(t).withColumn("vec", F.slice(coarse, 1, 8)))
+    v = cut(_vec(t).withColumn("vec", coarse))
     nxt = v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("node").alias("target"), F.col("vec").alias("t"), F.col("label").alias("wanted"))
     queries = v.select("vec_id", F.col("node").alias("query_id"), F.col("vec").alias("q")).join(nxt, "vec_id").drop("vec_id")
     known = queries.select("query_id", F.col("wanted").alias("label")).join(v.select("label", "node"), "label").select("query_id", "node")
