@@ -11,6 +11,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,12 +105,38 @@ def _times_small(block: DataFrame, small: np.ndarray) -> DataFrame:
     return block.select("node", "vec").mapInPandas(rotate, NODE_VEC)
 
 
+def _triangle(block: DataFrame, fan_in: int = 32) -> np.ndarray:
+    """R of the block's QR factors, by a tree: one R a partition, then one of every ``fan_in`` together, k rows each."""
+    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        r = None
+        for batch in batches:
+            if len(batch):
+                rows = np.stack(batch["vec"].to_numpy())
+                r = np.linalg.qr(rows if r is None else np.vstack([r, rows]), mode="r")
+        if r is not None:
+            yield pd.DataFrame({"part": TaskContext.get().partitionId(), "pos": np.arange(len(r)), "r": list(r)})
+
+    def joined(group: pd.DataFrame) -> pd.DataFrame:
+        r = np.linalg.qr(np.stack(group.sort_values(["part", "pos"])["r"].to_numpy()), mode="r")
+        return pd.DataFrame({"part": group["part"].iat[0] // fan_in, "pos": np.arange(len(r)), "r": list(r)})
+
+    schema = "part long, pos int, r array<double>"
+    parts = cut(block.select("vec").mapInPandas(local, schema))
+    while (parts.agg(F.max("part")).first()[0] or 0) > 0:
+        parts = cut(parts.groupBy(F.floor(F.col("part") / fan_in)).applyInPandas(joined, schema))
+    return np.array([r.r for r in parts.orderBy("pos").collect()])
+
+
 def _orthonormal(block: DataFrame) -> DataFrame:
-    """Orthonormal columns from the eigenvectors of the Gram matrix; directions without weight become zero."""
-    values, vectors = np.linalg.eigh(_cross_product(block))
-    strong = values > values.max() * 1e-12
-    inverse = np.where(strong, 1.0 / np.sqrt(np.where(strong, values, 1.0)), 0.0)
-    return _times_small(block, vectors * inverse)
+    """Orthonormal columns by the triangular factor, whose condition is the block's and not its square; directions without
+    weight become zero. A second pass takes off what rounding has left in the first."""
+    for _ in range(2):
+        block = cut(block)
+        _, values, turned = np.linalg.svd(_triangle(block))
+        strong = values > values.max() * 1e-13
+        inverse = np.where(strong, 1.0 / np.where(strong, values, 1.0), 0.0)
+        block = _times_small(block, turned.T[:, : len(values)] * inverse)
+    return block
 
 
 def svd_embedding(
@@ -131,9 +158,9 @@ def svd_embedding(
         F.sequence(F.lit(0), F.lit(width - 1)),
         lambda k: F.xxhash64(F.col("node"), k, F.lit(seed)) / F.lit(float(2**63)),
     )
-    basis = _orthonormal(cut(_apply(matrix, nodes.select("node", noise.alias("vec")), width)))
+    basis = _orthonormal(_apply(matrix, nodes.select("node", noise.alias("vec")), width))
     for _ in range(iterations):
-        basis = _orthonormal(cut(_apply(matrix, basis, width)))
+        basis = _orthonormal(_apply(matrix, basis, width))
     basis = cut(basis)
     image = _apply(matrix, basis, width).select("node", F.col("vec").alias("image"))
     values, vectors = np.linalg.eigh(_cross_product(basis.join(image, "node"), "image"))

@@ -156,3 +156,13 @@ def test_model_end_to_end(spark, tmp_path):
     again = {r.source_record_id: r.p for r in models.score(load_model(path), frame).collect()}
     first = {r.source_record_id: r.p for r in models.score(trained.selected.model, frame).collect()}
     assert again == first
+
+
+def test_orthonormal_columns_of_an_ill_conditioned_block(spark):
+    import numpy as np
+    draw = np.random.default_rng(3)
+    rows = draw.normal(size=(300, 6)) @ np.diag([1, 1e-3, 1e-6, 1e-9, 1e-10, 0]) @ np.linalg.qr(draw.normal(size=(6, 6)))[0]
+    block = spark.createDataFrame([(f"n{i}", r.tolist()) for i, r in enumerate(rows)], "node string, vec array<double>").repartition(40)
+    q = np.stack([r.vec for r in embedding._orthonormal(block).orderBy("node").collect()])
+    kept = np.linalg.norm(q, axis=0) > 0.5
+    assert kept.sum() == 5 and np.abs(q[:, kept].T @ q[:, kept] - np.eye(5)).max() < 1e-10
