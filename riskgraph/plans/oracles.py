@@ -680,7 +680,7 @@ UNION ALL SELECT 'malformed', 'urn:line', '<urn:d:' || doc_id || '> broken ' ||
 
 # ---- other ways to results above ------------------------------------------------------------------------------------------------------
 SQL["hz_measurements_merged"], SQL["hz_profile_merged"] = SQL["hz_measurements"], SQL["hz_profile"]
-SQL["kg_incremental"], SQL["pat_by_subject"] = SQL["kg_rdfs7"], SQL["pat_05_multi_source_groups"]
+SQL["kg_incremental"], SQL["kg_by_numbers"], SQL["pat_by_subject"] = SQL["kg_rdfs7"], SQL["kg_rdfs7"], SQL["pat_05_multi_source_groups"]
 SQL["dq_one_write"], SQL["dq_one_write_quarantine"] = SQL["dq_rule_metrics"], SQL["dq_quarantine"]
 SQL["io_published"] = "SELECT * FROM supplier"
 

@@ -12,7 +12,7 @@ from riskgraph import vocabulary as V
 from riskgraph.functions import iri, standardise as st, vectors
 from riskgraph.functions.names import normalize_columns
 from riskgraph.operators import (
-    comparison, contracts, embedding, entailment, features, formatting, harmonise, metrics, models, partials, patterns,
+    comparison, contracts, dictionary, embedding, entailment, features, formatting, harmonise, metrics, models, partials, patterns,
     sampling, triples,
 )
 from riskgraph.operators.lineage import cut, scratch
@@ -369,6 +369,13 @@ def kg_rdfs7(t: Tables) -> DataFrame:
     return entailment.inferred_triples(t.full, t.schema, skip_subclass=True)
 
 
+@register
+def kg_by_numbers(t: Tables) -> DataFrame:
+    """Sub-property entailment on the dictionary-encoded graph, decoded at the end."""
+    encoded = dictionary.encode(t.full)
+    return dictionary.decode(dictionary.inferred_ids(encoded, t.schema), encoded.terms_with(t.schema))
+
+
 @register
 def kg_incremental(t: Tables) -> DataFrame:
     """The graph as two runs: the second one's delta against the stored entailment of the first."""

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskgraph import vocabulary as V
-from riskgraph.operators import entailment, harmonise, partials, triples
+from riskgraph.operators import dictionary, entailment, harmonise, partials, triples
 from riskgraph.plans import zones
 from riskgraph.sources import snapshots, tables
 from tests import fixtures
@@ -83,3 +83,18 @@ def test_stars_on_a_bucketed_graph_do_not_shuffle(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.sql("DROP TABLE graph_by_subject")
+
+
+def test_graphs_by_numbers(spark, monkeypatch):
+    schema = spark.createDataFrame([(c, V.RDFS_SUBPROPERTY, p, "iri", None) for c, p in [("a", "b"), ("b", "c"), ("x", "c")]], triples.TRIPLE_SCHEMA)
+    rows_ = [("1", "a", "2", "iri", None), ("1", "c", "2", "iri", None), ("3", "x", "2", "literal", None), ("3", "c", "2", "literal", "t"), ("3", "x", "", "literal", "t"), ("4", "z", "a", "iri", None)]
+    graph = spark.createDataFrame(rows_, triples.TRIPLE_SCHEMA)
+    encoded = dictionary.encode(graph)
+    assert rows(dictionary.decode(encoded.ids, encoded.terms)) == rows(graph)
+    found = dictionary.decode(dictionary.inferred_ids(encoded, schema), encoded.terms_with(schema))
+    assert rows(found) == rows(entailment.inferred_triples(graph, schema, skip_subclass=True)) and found.count() == 3
+    part = encoded.numbered(graph.where("p = 'x'"))
+    assert rows(dictionary.decode(dictionary.missing_ids(encoded.ids, part), encoded.terms)) == rows(graph.where("p <> 'x'"))
+    number = dictionary._number
+    monkeypatch.setattr(dictionary, "_number", lambda text, kind, type_, seed: F.length(text).cast("long") if seed == 1 else number(text, kind, type_, seed))
+    assert dictionary.encode(graph, 1).seed == 2  # terms that share a number are encoded anew
