@@ -266,7 +266,8 @@ def _links(rows: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFr
     of = cut(components(near).select(F.col("node").alias("rid"), "root"))
     member = cut(member.select("key", "rid").join(of, "rid", "left").select("key", "rid", F.coalesce("root", "rid").alias("part")))
     parts = member.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"))
-    mixed = cut(parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("part", F.struct("size", "part")).alias("main")).where("parts > 1").drop("parts"))
+    mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("size").alias("members"), F.max_by("part", F.struct("size", "part")).alias("main"))
+    mixed = cut(mixed.where("parts > 1 AND members > 2").select("key", "main"))  # of two members, one led: they have been compared
     mixed = cut(member.join(mixed, "key").select("key", "rid", "part", (F.col("part") == F.col("main")).alias("is_main")).join(short, "rid"))
     a = mixed.select("key", "rid", "part", "is_main", "n", F.col("sketch").alias("s"))
     b = mixed.where("not is_main").select("key", F.col("rid").alias("other"), F.col("part").alias("other_part"), F.col("n").alias("m"), F.col("sketch").alias("t"))
