@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from riskgraph.operators.entailment import inferred_triples
 from riskgraph.operators.harmonise import with_record_ordinal
 from riskgraph.operators.ranking import first_of_key, ordinal_in_key
+from riskgraph.operators.triples import hr, schema_triples
 
 
 def plan_of(df):
@@ -28,3 +30,15 @@ def test_unique_ids_are_numbered_where_they_are(spark):
     assert moves(out) == 0 and {r.record_ordinal for r in out.collect()} == {1}
     twice = with_record_ordinal(df.unionByName(df), ())
     assert sorted(r.record_ordinal for r in twice.collect()) == [1] * 50 + [2] * 50
+
+
+def test_entailment_moves_no_asserted_triple(spark):
+    """The hierarchies are sent along; only what is derived is shuffled."""
+    n = F.col("id").cast("string")
+    graph = spark.range(0, 2000).select(
+        F.concat(F.lit("urn:"), n).alias("s"), F.lit(hr("hasGender")).alias("p"), F.lit("urn:g").alias("o"), F.lit("iri").alias("o_kind"),
+        F.lit(None).cast("string").alias("o_type"))
+    inferred = inferred_triples(graph, schema_triples(spark), skip_subclass=True)
+    plan = plan_of(inferred)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+    assert inferred.count() == 2000
