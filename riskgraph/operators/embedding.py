@@ -11,6 +11,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from riskgraph.operators.triples import hr
 OUTCOME = hr(f"indicator/{V.OUTCOME_INDICATOR}")
 NODE_VEC = "node string, vec array<double>"
 MARGIN, TIE = 1.0, 1e-9
+TILE = 1024  # rows and columns of scores at a time
 MOST_RELATIONS = 1 << 14
 COLUMNS = ["place", "block", "vec", "squares", "weight"]
 
@@ -436,45 +438,60 @@ def true_answers(queries: DataFrame, triples: DataFrame) -> DataFrame:
 
 def target_ranks(
     queries: DataFrame, entities: DataFrame, similarity: str = "dot", block_rows: int = 32_768, known: DataFrame | None = None,
-    average_ties: bool = False,
+    average_ties: bool = False, apart: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Rank of each query's target among all entities: one plus the entities that score higher.
 
     With ``average_ties`` an equal score counts a half. ``known`` (query_id, node) names other true answers, which are
-    left out of the count. Queries and entities are cut into bounded blocks; every pair of blocks is one group that
-    multiplies slices of two matrices and returns counts per query; no pair of rows is ever emitted.
+    left out of the count. ``apart`` names a column of the queries and one of the entities: entities with the query's value
+    (NULL like NULL) are left out, without a row for any of them. Queries and entities are cut into bounded blocks; every
+    pair of blocks is one group that multiplies tiles of two matrices and returns counts per query; no pair of rows is ever
+    emitted, and a task holds two blocks and one tile.
     """
     n_blocks = max(1, math.ceil(entities.count() / block_rows))
     n_chunks = max(1, math.ceil(queries.count() / block_rows))
+    wanted, value = (F.col(c).cast("string") for c in apart) if apart else (F.lit(None).cast("string"), F.lit(None).cast("string"))
     left = queries.select(
-        "query_id", "target", "q", "t", F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)).cast("int").alias("chunk"),
+        "query_id", "target", "q", "t", wanted.alias("wanted"), F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)).cast("int").alias("chunk"),
         F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"),
     )
     right = entities.select(
-        "node", "vec", F.pmod(F.xxhash64("node"), F.lit(n_blocks)).cast("int").alias("block"),
+        "node", "vec", value.alias("value"), F.pmod(F.xxhash64("node"), F.lit(n_blocks)).cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("chunk"),
     )
 
+    def matrix(column: pa.ChunkedArray) -> np.ndarray:
+        return np.concatenate([c.flatten().to_numpy() for c in column.chunks]).reshape(len(column), -1)
+
+    def codes(a: pa.ChunkedArray, b: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+        both = pd.factorize(np.concatenate([a.to_numpy(), b.to_numpy()]), use_na_sentinel=False)[0].astype(np.int32)
+        return both[: len(a)], both[len(a) :]
+
     def scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
         if similarity == "dot":
             return q @ v.T
         return -(np.square(q).sum(1)[:, None] - 2.0 * (q @ v.T) + np.square(v).sum(1)[None, :])
 
-    def count_higher(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        higher, equal = np.zeros(len(asked), dtype="int64"), np.zeros(len(asked), dtype="int64")
-        if len(asked) and len(block):
-            vecs, nodes = np.stack(block["vec"].to_numpy()), block["node"].to_numpy()
-            for lo in range(0, len(asked), 512):
-                part = asked.iloc[lo : lo + 512]
-                q, t = np.stack(part["q"].to_numpy()), np.stack(part["t"].to_numpy())
-                own = (q * t).sum(1) if similarity == "dot" else -np.square(q - t).sum(1)
-                gap = scores(q, vecs) - own[:, None]
-                other = part["target"].to_numpy()[:, None] != nodes[None, :]
-                higher[lo : lo + 512] = ((gap > TIE) & other).sum(1)
-                equal[lo : lo + 512] = ((np.abs(gap) <= TIE) & other).sum(1)
-        return pd.DataFrame({"query_id": asked["query_id"].astype(str), "higher": higher, "equal": equal})
-
-    counted = left.groupBy("chunk", "block").cogroup(right.groupBy("chunk", "block")).applyInPandas(
+    def count_higher(asked: pa.Table, block: pa.Table) -> pa.Table:
+        n, m = asked.num_rows, block.num_rows
+        higher, equal = np.zeros(n, dtype="int64"), np.zeros(n, dtype="int64")
+        if n and m:
+            q, t, vecs = matrix(asked["q"]), matrix(asked["t"]), matrix(block["vec"])
+            target, nodes = codes(asked["target"], block["node"])
+            mine, theirs = codes(asked["wanted"], block["value"])
+            own = (q * t).sum(1) if similarity == "dot" else -np.square(q - t).sum(1)
+            for lo in range(0, n, TILE):
+                for at in range(0, m, TILE):
+                    rows, cols = slice(lo, lo + TILE), slice(at, at + TILE)
+                    gap = scores(q[rows], vecs[cols]) - own[rows, None]
+                    other = target[rows, None] != nodes[None, cols]
+                    if apart:
+                        other &= mine[rows, None] != theirs[None, cols]
+                    higher[rows] += ((gap > TIE) & other).sum(1)
+                    equal[rows] += ((np.abs(gap) <= TIE) & other).sum(1)
+        return pa.table({"query_id": asked["query_id"].cast(pa.string()), "higher": higher, "equal": equal})
+
+    counted = left.groupBy("chunk", "block").cogroup(right.groupBy("chunk", "block")).applyInArrow(
         count_higher, "query_id string, higher long, equal long")
     if known is not None:
         answers = known.distinct().join(queries, "query_id").where(F.col("node") != F.col("target")).join(entities, "node")

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from riskgraph.operators.embedding import target_ranks
 from riskgraph.operators.entailment import inferred_triples
 from riskgraph.operators.harmonise import with_record_ordinal
 from riskgraph.operators.ranking import first_of_key, ordinal_in_key
@@ -36,9 +37,22 @@ def test_entailment_moves_no_asserted_triple(spark):
     """The hierarchies are sent along; only what is derived is shuffled."""
     n = F.col("id").cast("string")
     graph = spark.range(0, 2000).select(
-        F.concat(F.lit("urn:"), n).alias("s"), F.lit(hr("hasGender")).alias("p"), F.lit("urn:g").alias("o"), F.lit("iri").alias("o_kind"),
+        F.concat(F.lit("urn:"), n).alias("s"), F.when(F.col("id") % 2 == 0, hr("hasGender")).otherwise(hr("belongsToAgeGroup")).alias("p"), F.lit("urn:g").alias("o"), F.lit("iri").alias("o_kind"),
         F.lit(None).cast("string").alias("o_type"))
     inferred = inferred_triples(graph, schema_triples(spark), skip_subclass=True)
     plan = plan_of(inferred)
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
     assert inferred.count() == 2000
+
+
+def test_filtered_ranks_write_no_row_for_what_is_left_out(spark):
+    """Entities of the target's label are left out by a mask: ranks equal those by (query, node) rows; NULL is like NULL."""
+    labelled = [(str(i), [float(i % 7), float(i % 5)], None if i % 11 == 0 else i % 3) for i in range(60)]
+    entities = spark.createDataFrame(labelled, "node string, vec array<double>, label int")
+    asked = [(f"q{i}", str((i + 1) % 60), labelled[i][1], labelled[(i + 1) % 60][1], labelled[(i + 1) % 60][2]) for i in range(0, 60, 4)]
+    queries = spark.createDataFrame(asked, "query_id string, target string, q array<double>, t array<double>, wanted int")
+    known = spark.createDataFrame([(a[0], n) for a in asked for n, _, label in labelled if label == a[4]], "query_id string, node string")
+    ranks = target_ranks(queries, entities, average_ties=True, block_rows=17, apart=("wanted", "label"))
+    assert "Join" not in plan_of(ranks)
+    by_rows = target_ranks(queries, entities, average_ties=True, known=known)
+    assert {tuple(r) for r in ranks.collect()} == {tuple(r) for r in by_rows.collect()}
