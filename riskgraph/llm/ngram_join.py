@@ -248,16 +248,18 @@ def _verified(rows: DataFrame, pairs: DataFrame, sets: DataFrame, words: int, pe
 
 def _links(rows: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
     """``sets``: rid, n, sketch, keys; one row of each class. Similar pairs (left, right) whose components are those of all similar pairs."""
-    keyed = sets.select("rid", F.explode("keys").alias("key"))
+    keyed = sets.select("rid", "n", F.explode("keys").alias("key"))
     several = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1"))
     member = cut(keyed.join(several, "key"))
     # three of each key to compare with: the first, one by hash, and the one whose keys are the commonest, as an original's are among its copies
     scored = member.join(cut(member.groupBy("rid").agg(F.sum("many").alias("score"))), "rid")
-    least = lambda rank: F.min(F.struct(rank.alias("rank"), "rid")).getField("rid")
+    least = lambda rank: F.struct(*[F.min(F.struct(rank.alias("rank"), "rid", "n")).getField(c).alias(c) for c in ("rid", "n")])
     chosen = F.array(least(F.lit(0).cast("long")), least(F.xxhash64("rid")), least(-F.col("score")))
-    leads = cut(scored.groupBy("key").agg(chosen.alias("leads")).select("key", F.explode("leads").alias("other")).distinct())
+    led = scored.groupBy("key").agg(F.array_distinct(chosen).alias("leads")).select("key", F.explode("leads").alias("lead"))
+    leads = cut(led.select("key", F.col("lead.rid").alias("other"), F.col("lead.n").alias("m")))
+    of_size = f"100 * least(n, m) >= {percent} * greatest(n, m)"  # before pairs are moved with their sketches
     ordered = [F.least("rid", "other").alias("left"), F.greatest("rid", "other").alias("right")]
-    stars = cut(member.join(leads, "key").where("rid <> other").select(*ordered).distinct())
+    stars = cut(member.join(leads, "key").where("rid <> other").where(of_size).select(*ordered).distinct())
     known = cut(sets.select("rid", "n", "sketch", "wide").join(member.select("rid").distinct(), "rid", "left_semi"))
     short = known.select("rid", "n", "sketch")
     one, two = short.toDF("left", "n", "s"), short.toDF("right", "m", "t")
