@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from riskgraph.operators.embedding import target_ranks
-from riskgraph.operators.entailment import inferred_triples
+from riskgraph.operators.entailment import entailed_delta, inferred_triples, with_delta
 from riskgraph.operators.harmonise import with_record_ordinal
+from riskgraph.operators.lineage import cut
 from riskgraph.operators.ranking import first_of_key, ordinal_in_key
-from riskgraph.operators.triples import hr, schema_triples
+from riskgraph.operators.triples import TRIPLE_SCHEMA, hr, schema_triples
 
 
 def plan_of(df):
@@ -56,3 +57,17 @@ def test_filtered_ranks_write_no_row_for_what_is_left_out(spark):
     assert "Join" not in plan_of(ranks)
     by_rows = target_ranks(queries, entities, average_ties=True, known=known)
     assert {tuple(r) for r in ranks.collect()} == {tuple(r) for r in by_rows.collect()}
+
+
+def test_a_run_moves_its_own_triples(spark):
+    """What was inferred and stays is neither shuffled nor sorted to take the few asserted ones out."""
+    row = lambda s, p: (s, hr(p), "urn:g", "iri", None)
+    frame = lambda rows: spark.createDataFrame(rows, TRIPLE_SCHEMA)
+    stored, new = frame([row("urn:a", "hasGender"), row("urn:b", "hasGender")]), frame([row("urn:b", "belongsToDemographicConcept"), row("urn:c", "hasGender")])
+    schema = schema_triples(spark)
+    inferred = cut(inferred_triples(stored, schema, skip_subclass=True))
+    added, removed = entailed_delta(new, stored, inferred, schema, skip_subclass=True)
+    assert moves(removed) == 0
+    after = with_delta(inferred, cut(added), removed)
+    assert moves(after) == 0
+    assert {r.s for r in removed.collect()} == {"urn:b"} and {r.s for r in after.collect()} == {"urn:a", "urn:c"}
