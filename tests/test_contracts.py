@@ -146,3 +146,18 @@ def test_split_of_nothing(spark):
     df = spark.createDataFrame([], zones.formatted(fixtures.raw(spark), "ts")[V.CARDIO].schema)
     split = evaluate(cat.standardise_cardio(df), cat.CARDIO_CONTRACT, "run", "ts").split()
     assert split.clean().count() == split.quarantine().count() == 0 and {r.total_rows for r in split.metrics().collect()} == {0}
+
+
+def test_clean_rows_are_a_compiled_filter(spark):
+    """No array of flags and no lambda over it is left in the filter of the clean rows, which keeps the same rows."""
+    from pyspark.sql import functions as F
+    from riskgraph.operators.contracts import Contract, Rule, evaluate
+
+    rows = spark.range(10).select(F.col("id").cast("string").alias("key"), F.col("id").alias("n"))
+    contract = Contract("d", "key", (Rule("a", "low", lambda: F.col("n") > 2), Rule("b", "odd", lambda: F.col("n") % 2 == 0)), ("u", "twice"))
+    found = evaluate(rows, contract, "r", "t")
+    plan = found.clean()._jdf.queryExecution().optimizedPlan().toString()
+    assert "forall" not in plan and "array" not in plan
+    assert [r.n for r in found.clean().orderBy("n").collect()] == [4, 6, 8]
+    assert found.quarantine().count() == 7
+    assert evaluate(rows, Contract("d", "key", ()), "r", "t").clean().count() == 10
