@@ -166,3 +166,14 @@ def test_orthonormal_columns_of_an_ill_conditioned_block(spark):
     q = np.stack([r.vec for r in embedding._orthonormal(block).orderBy("node").collect()])
     kept = np.linalg.norm(q, axis=0) > 0.5
     assert kept.sum() == 5 and np.abs(q[:, kept].T @ q[:, kept] - np.eye(5)).max() < 1e-10
+
+
+def test_kg_features_derived_once_a_signature(spark):
+    """What follows from the vector comes in its place, from as many vectors as there are signatures, not records."""
+    whole = features.kg_features(records(spark), node_vectors(spark), 2)
+    told = features.kg_features(records(spark), node_vectors(spark), 2, [F.size("features").alias("width"), F.get("features", F.lit(0)).alias("first")])
+    assert "features" not in told.columns
+    key = ("source_dataset", "source_record_id")
+    want = sorted(((*(r[k] for k in key), len(r.features), r.features[0]) for r in whole.collect()), key=str)
+    assert sorted(((*(r[k] for k in key), r.width, r["first"]) for r in told.collect()), key=str) == want
+    assert "features" not in told._jdf.queryExecution().optimizedPlan().toString()
