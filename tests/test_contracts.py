@@ -161,3 +161,18 @@ def test_clean_rows_are_a_compiled_filter(spark):
     assert [r.n for r in found.clean().orderBy("n").collect()] == [4, 6, 8]
     assert found.quarantine().count() == 7
     assert evaluate(rows, Contract("d", "key", ()), "r", "t").clean().count() == 10
+
+
+def test_events_parse_their_text_once(spark):
+    """The rules filter on what derives from the JSON text; it is parsed in one place of the plan."""
+    from pyspark.sql import functions as F
+    from riskgraph.operators.contracts import evaluate
+    from riskgraph.plans.bindings import EVENTS_CONTRACT, events_from
+
+    events = spark.range(40).select(
+        F.col("id").alias("event_id"), F.col("id").alias("user_id"), F.lit("view").alias("event_type"), F.lit(50.0).alias("value"),
+        F.concat(F.lit('{"k": '), F.col("id").cast("string"), F.lit("}")).alias("props"))
+    clean = evaluate(events_from(events), EVENTS_CONTRACT, "r", "t").clean()
+    assert clean._jdf.queryExecution().optimizedPlan().toString().count("get_json_object") == 1
+    assert clean.count() == 36  # bands 14 and 15 have no midpoint
+    assert evaluate(events_from(events.withColumn("props", F.lit("?"))), EVENTS_CONTRACT, "r", "t").quarantine().count() == 40
