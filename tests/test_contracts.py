@@ -176,3 +176,15 @@ def test_events_parse_their_text_once(spark):
     assert clean._jdf.queryExecution().optimizedPlan().toString().count("get_json_object") == 1
     assert clean.count() == 36  # bands 14 and 15 have no midpoint
     assert evaluate(events_from(events.withColumn("props", F.lit("?"))), EVENTS_CONTRACT, "r", "t").quarantine().count() == 40
+
+
+def test_batches_rank_their_rows_once(spark):
+    """Rows of a batch are ranked within their key once, then read for the first ones and for the others."""
+    from pyspark.sql import functions as F
+    from riskgraph.operators.contracts import Contract, evaluate
+
+    rows = spark.range(12).select((F.col("id") % 4).cast("string").alias("key"), F.col("id").alias("n"))
+    fresh = spark.createDataFrame([("0",), ("1",)], "key string")
+    found = evaluate(rows, Contract("d", "key", (), ("u", "twice")), "r", "t", fresh).clean()
+    assert "row_number" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.key, r.n) for r in found.collect()) == [("0", 0), ("1", 1)]
