@@ -239,7 +239,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
 
 
-def _labelled(prints: DataFrame, max_bits: int, unit: int) -> DataFrame:
+def labelled(prints: DataFrame, max_bits: int = MAX_BITS, unit: int = UNIT) -> DataFrame:
     """``prints``: rid, doc_id, fp. Adds ``first``, the (no id, id, rid) of the component's first row."""
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")
     firsts = cut(prints.groupBy("fp").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("size")), lasting=True)
@@ -252,11 +252,11 @@ def _labelled(prints: DataFrame, max_bits: int, unit: int) -> DataFrame:
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, max_bits: int = MAX_BITS, unit: int = UNIT) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links)."""
     prints = cut(fingerprints(_rows(docs, id_col, text_col), words))
-    return _labelled(prints, max_bits, unit).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id"))
+    return labelled(prints, max_bits, unit).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, max_bits: int = MAX_BITS, unit: int = UNIT) -> DataFrame:
     """The documents, one of each component (smallest id, then the row read first), with all their columns."""
     whole = numbered(docs)
     rows = whole.select("rid", F.col(f"row.`{id_col}`").alias("doc_id"), text_of(F.col(f"row.`{text_col}`")).alias("text"))
-    return without(whole, _labelled(cut(fingerprints(rows, words)), max_bits, unit).where(F.col("rid") != F.col("first.rid")))
+    return without(whole, labelled(cut(fingerprints(rows, words)), max_bits, unit).where(F.col("rid") != F.col("first.rid")))
