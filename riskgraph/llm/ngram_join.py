@@ -17,11 +17,12 @@ So two similar sets have a key in common. B grows with the set (an eighth of it,
 keeps combinations in proportion to the set. A pair uses the larger set's B, so a set within reach of the next power
 gives keys for both.
 
-*Verification.* Keys are counted first, and only those of several sets go on. Members of a key are compared with up to
-three of them (the smallest number, one by hash, and the one with the commonest keys), and what is similar becomes one
+*Verification.* Keys are counted first, and only those of several sets go on. Two members of a key are a pair, which is
+all there is to compare; the members of a larger one are compared with up to three of them (the smallest number, one by hash, and the one with the commonest keys), and what is similar becomes one
 component; then members of different components under one key are compared, the key's largest component with the
 others and the others among themselves. A set's odd sketch, the parities of its tokens in ``PARITIES`` bits, rules
-candidates out where they stand: two sets differ in at least as many tokens as their sketches in bits. What is left is
+candidates out where they stand: two sets differ in at least as many tokens as their sketches in bits. Across components
+it moves with every key, folded to half its bits, and the whole one is asked for what that leaves. The rest is
 verified by the exact similarity of the two texts' sets. A large group of near copies is thus joined by its leaders,
 nothing is written for a pair that the sketch rules out (long sets have a longer one too, read before texts are moved),
 and no link between different sets is lost. Tables of each
@@ -180,12 +181,18 @@ def least_difference(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def _fit(percent: int) -> str:
-    """Whether sizes n, m and sketches s, t leave the similarity possible."""
-    differ = " + ".join(f"bit_count(s[{i}] ^ t[{i}])" for i in range(PARITIES // 64))
+def _fit(percent: int, bits: int = PARITIES) -> str:
+    """Whether sizes n, m and sketches s, t of so many bits leave the similarity possible."""
+    differ = " + ".join(f"bit_count(s[{i}] ^ t[{i}])" for i in range(bits // 64))
     return f"100 * least(n, m) >= {percent} * greatest(n, m) AND {100 + percent} * ({differ}) <= {100 - percent} * (n + m)"
 
 
+def _folded(sketch: str = "sketch") -> Column:
+    """The odd sketch of half the bits."""
+    half = PARITIES // 128
+    return F.array(*[F.get(sketch, F.lit(i)).bitwiseXOR(F.get(sketch, F.lit(i + half))) for i in range(half)])
+
+
 def signed(rows: DataFrame, words: int, percent: int, blank: bool) -> DataFrame:
     """rid, n (tokens of the row), digest (of its set), sketch, wide (sketch of a large set), keys."""
     shared = rows.sparkSession.sparkContext.broadcast(sketch(rows, words))
@@ -251,16 +258,21 @@ def _links(rows: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFr
     keyed = sets.select("rid", "n", F.explode("keys").alias("key"))
     several = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1"))
     member = cut(keyed.join(several, "key"))
-    # three of each key to compare with: the first, one by hash, and the one whose keys are the commonest, as an original's are among its copies
+    of_size = f"100 * least(n, m) >= {percent} * greatest(n, m)"  # before pairs are moved with their sketches
+    ends = [F.min("rid").alias("left"), F.max("rid").alias("right"), F.min("n").alias("n"), F.max("n").alias("m")]
+    twos = member.where("many = 2").groupBy("key").agg(*ends).where(of_size).select("left", "right")  # most keys: two members are one pair
+    member = member.where("many > 2")
+    # three of each other key to compare with: the first, one by hash, and the one whose keys are the commonest, as an original's are among its copies
     scored = member.join(cut(member.groupBy("rid").agg(F.sum("many").alias("score"))), "rid")
     least = lambda rank: F.struct(*[F.min(F.struct(rank.alias("rank"), "rid", "n")).getField(c).alias(c) for c in ("rid", "n")])
     chosen = F.array(least(F.lit(0).cast("long")), least(F.xxhash64("rid")), least(-F.col("score")))
     led = scored.groupBy("key").agg(F.array_distinct(chosen).alias("leads")).select("key", F.explode("leads").alias("lead"))
     leads = cut(led.select("key", F.col("lead.rid").alias("other"), F.col("lead.n").alias("m")))
-    of_size = f"100 * least(n, m) >= {percent} * greatest(n, m)"  # before pairs are moved with their sketches
     ordered = [F.least("rid", "other").alias("left"), F.greatest("rid", "other").alias("right")]
-    stars = cut(member.join(leads, "key").where("rid <> other").where(of_size).select(*ordered).distinct())
-    known = cut(sets.select("rid", "n", "sketch", "wide").join(member.select("rid").distinct(), "rid", "left_semi"))
+    stars = member.join(leads, "key").where("rid <> other").where(of_size).select(*ordered)
+    stars = cut(twos.unionByName(stars).distinct())
+    compared = stars.select(F.explode(F.array("left", "right")).alias("rid")).unionByName(member.select("rid")).distinct()
+    known = cut(sets.select("rid", "n", "sketch", "wide").join(compared, "rid", "left_semi"))
     short = known.select("rid", "n", "sketch")
     one, two = short.toDF("left", "n", "s"), short.toDF("right", "m", "t")
     near = _verified(rows, cut(stars.join(one, "left").join(two, "right").where(_fit(percent)).select("left", "right")), known, words, percent)
@@ -268,13 +280,15 @@ def _links(rows: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFr
     of = cut(components(near).select(F.col("node").alias("rid"), "root"))
     member = cut(member.select("key", "rid").join(of, "rid", "left").select("key", "rid", F.coalesce("root", "rid").alias("part")))
     parts = member.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"))
-    mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("size").alias("members"), F.max_by("part", F.struct("size", "part")).alias("main"))
-    mixed = cut(mixed.where("parts > 1 AND members > 2").select("key", "main"))  # of two members, one led: they have been compared
-    mixed = cut(member.join(mixed, "key").select("key", "rid", "part", (F.col("part") == F.col("main")).alias("is_main")).join(short, "rid"))
+    mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("part", F.struct("size", "part")).alias("main"))
+    mixed = cut(mixed.where("parts > 1").select("key", "main"))
+    mixed = cut(member.join(mixed, "key").select("key", "rid", "part", (F.col("part") == F.col("main")).alias("is_main")).join(
+        known.select("rid", "n", _folded().alias("sketch")), "rid"))
     a = mixed.select("key", "rid", "part", "is_main", "n", F.col("sketch").alias("s"))
     b = mixed.where("not is_main").select("key", F.col("rid").alias("other"), F.col("part").alias("other_part"), F.col("n").alias("m"), F.col("sketch").alias("t"))
-    across = a.join(b, "key").where("part <> other_part AND (is_main OR part < other_part)").where(_fit(percent))
+    across = a.join(b, "key").where("part <> other_part AND (is_main OR part < other_part)").where(_fit(percent, PARITIES // 2))
     rest = cut(across.select(*ordered).distinct().join(stars, ["left", "right"], "left_anti"))
+    rest = cut(rest.join(one, "left").join(two, "right").where(_fit(percent)).select("left", "right"))
     return near.unionByName(_verified(rows, rest, known, words, percent))
 
 

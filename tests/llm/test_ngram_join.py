@@ -101,3 +101,30 @@ def test_a_hub_and_its_copies(spark):
     _, root, _ = components(rows)
     found = {r.doc_id: r.component_id for r in J.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found == {d: rows[r][0] for (d, _), r in zip(rows, root, strict=True)} and len(set(found.values())) < 10
+
+
+def test_keys_of_two_members_move_once(spark, monkeypatch):
+    """Pairs of copies: their keys are pairs at once; no lead is chosen, and nothing is left for a second comparison."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(30):
+        w = [f"u{i}_{rng.randrange(10**6)}" for _ in range(80)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join([*w[:79], "end"]))]
+    tables, cut = [], J.cut
+    monkeypatch.setattr(J, "cut", lambda df, **options: tables.append((df.columns, (made := cut(df, **options)).count())) or made)
+    found = {r.doc_id: r.component_id for r in J.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {d: d - d % 2 for d, _ in rows}
+    assert [n for columns, n in tables if columns == ["key", "other", "m"]] == [0]  # leads
+    assert [n for columns, n in tables if columns == ["rid", "score"]] == [0]
+    assert (["left", "right"], 30) in tables
+
+
+def test_folded_sketches_bound_the_difference(spark):
+    draw = np.random.default_rng(2)
+    for n in (5, 400, 3000):
+        a = np.unique(draw.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[n // 10 :], draw.integers(0, 2**63, n // 10).astype(np.uint64)]))
+        frame = spark.createDataFrame([(J.parities(a).tolist(), J.parities(b).tolist())], "a array<long>, b array<long>")
+        x, y = (np.array(v, dtype=np.int64) for v in frame.select(J._folded("a"), J._folded("b")).first())
+        bits = np.bitwise_count((x ^ y).view(np.uint64)).sum()
+        assert len(x) == J.PARITIES // 128 and bits <= len(np.setxor1d(a, b)) and (n < 100 or bits > 0)
