@@ -513,29 +513,34 @@ def rank_metrics(ranks: DataFrame) -> DataFrame:
     )
 
 
+def _finite(vec: str) -> Column:
+    return F.forall(vec, lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+
+
 def best_model(
     triples: DataFrame, models: tuple[str, ...] = ("TransE", "DistMult"), dim: int = V.EMBEDDING_DIM, **training
 ) -> tuple[DataFrame, DataFrame]:
     """Train each model on 90 % of the triples, rank the rest (filtered, ties averaged); returns the vectors of the best one and all metrics.
 
-    The loop runs over a handful of model names; a model that fails is skipped.
+    The loop runs over a handful of model names. The best is named only among all of them: a model that fails, or whose
+    vectors are no numbers (they would rank first everywhere), fails the whole.
     """
     spark = triples.sparkSession
     train, test = split_triples(cut(triples))
     train, test = cut(train), cut(test)
-    found, failures = {}, []
+    found = {}
     for model in models:
         try:
             entities, relations = train_translation_model(train, model, dim, **training)
+            if not entities.unionByName(relations).where(~_finite("vec")).isEmpty():
+                raise ArithmeticError("vectors that are no numbers")
             queries = cut(link_queries(test, entities, relations, model))
             similarity = "dot" if model == "DistMult" else "l2"
             answers = true_answers(queries, train.unionByName(test))
             row = rank_metrics(target_ranks(queries, entities, similarity, known=answers, average_ties=True)).first()
-            found[model] = (entities, row)
-        except Exception as failure:  # noqa: BLE001 - one broken model must not stop the others
-            failures.append(f"{model}: {failure}")
-    if not found:
-        raise RuntimeError("all embedding models failed: " + "; ".join(failures))
+        except Exception as failure:
+            raise RuntimeError(f"embedding model {model} failed: {failure}") from failure
+        found[model] = (entities, row)
     best = max(found, key=lambda m: found[m][1].mrr if found[m][1].mrr is not None else -1.0)
     rows = [(m, r.mrr, r.hits_at_10, r.mean_rank, r.ranked, m == best) for m, (_, r) in found.items()]
     metrics = spark.createDataFrame(

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from riskgraph import vocabulary as V
@@ -94,6 +95,25 @@ def test_best_model_ranks_better_than_chance(spark):
     assert all(len(r.vec) == 8 for r in vectors.limit(5).collect())
 
 
+def test_a_failed_model_is_no_result(spark, monkeypatch):
+    """One model that fails, or that gives vectors of NaN (which nothing outranks), fails the selection."""
+    train = embedding.train_translation_model
+
+    def fails(triples, model, dim, **options):
+        if model == "TransE":
+            raise ValueError("broken")
+        return train(triples, model, dim, **options)
+
+    def no_numbers(triples, model, dim, **options):
+        entities, relations = train(triples, model, dim, **options)
+        return (entities.withColumn("vec", F.transform("vec", lambda x: x * float("nan"))) if model == "DistMult" else entities), relations
+
+    for broken, name in ((fails, "TransE"), (no_numbers, "DistMult")):
+        monkeypatch.setattr(embedding, "train_translation_model", broken)
+        with pytest.raises(RuntimeError, match=f"{name} failed"):
+            embedding.best_model(graph(spark), dim=4, rounds=1, least_updates=0)
+
+
 def node_vectors(spark):
     nodes = ["dataset/a", "population-group/age-1/gender-female", "indicator/smoking", "indicator/high-cholesterol", "indicator/age-years"]
     rows = [(V.hr(n), [float(k), float(k + 1)]) for k, n in enumerate(nodes, 1)]
