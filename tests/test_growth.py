@@ -71,3 +71,32 @@ def test_a_run_moves_its_own_triples(spark):
     after = with_delta(inferred, cut(added), removed)
     assert moves(after) == 0
     assert {r.s for r in removed.collect()} == {"urn:b"} and {r.s for r in after.collect()} == {"urn:a", "urn:c"}
+
+
+def moved_terms(df):
+    return [line for line in plan_of(df).splitlines() if "Exchange hashpartitioning" in line and "o_kind" in line]
+
+
+def test_inferred_triples_are_not_shuffled_by_their_terms(spark):
+    """Only hashes tell whether a triple is new; the few that share one are compared by their terms."""
+    row = lambda s, p, o="urn:g": (s, hr(p), o, "iri", None)
+    rows = [row(f"urn:{i}", "hasGender") for i in range(50)]
+    schema = schema_triples(spark)
+    frame = lambda x: spark.createDataFrame(x, TRIPLE_SCHEMA)
+    inferred = inferred_triples(frame(rows), schema, skip_subclass=True)
+    assert not moved_terms(inferred) and inferred.count() == 50
+    odd = [row("urn:1", "belongsToAgeGroup"), row("urn:2", "belongsToDemographicConcept"), row("urn:3", "hasGender"), row("urn:4", "hasGender", None), row("urn:4", "hasGender", None)]
+    want = sorted(f"urn:{i}" for i in range(50) if i != 2) + ["urn:4"]
+    got = inferred_triples(frame(rows + odd), schema, skip_subclass=True).collect()
+    assert sorted(r.s for r in got) == sorted(want) and {r.p for r in got} == {hr("belongsToDemographicConcept")}
+    added, _ = entailed_delta(frame([row("urn:new", "hasGender")]), frame(rows), cut(inferred), schema, skip_subclass=True)
+    assert not moved_terms(added) and [r.s for r in added.collect()] == ["urn:new"]
+
+
+def test_triples_that_collide_are_told_apart(spark, monkeypatch):
+    from riskgraph.operators import entailment
+
+    monkeypatch.setattr(entailment.F, "xxhash64", lambda *columns: F.length("s") % 2)
+    rows = [(s, hr("hasGender"), "urn:g", "iri", None) for s in ("a", "bb", "ccc")] + [("a", hr("belongsToDemographicConcept"), "urn:g", "iri", None)]
+    got = inferred_triples(spark.createDataFrame(rows, TRIPLE_SCHEMA), schema_triples(spark), skip_subclass=True)
+    assert sorted(r.s for r in got.collect()) == ["bb", "ccc"]
