@@ -100,3 +100,17 @@ def test_triples_that_collide_are_told_apart(spark, monkeypatch):
     rows = [(s, hr("hasGender"), "urn:g", "iri", None) for s in ("a", "bb", "ccc")] + [("a", hr("belongsToDemographicConcept"), "urn:g", "iri", None)]
     got = inferred_triples(spark.createDataFrame(rows, TRIPLE_SCHEMA), schema_triples(spark), skip_subclass=True)
     assert sorted(r.s for r in got.collect()) == ["bb", "ccc"]
+
+
+def test_a_stored_graph_is_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """Rows go to the file of their predicate as they come; the session's setting is as before."""
+    from pyspark.sql import DataFrameWriter
+
+    from riskgraph.sources import ntriples
+
+    rows = [(f"urn:{i}", f"p{i % 9}", "o", "iri", None) for i in range(90)]
+    before, seen, parquet = spark.conf.get(ntriples.WRITERS), [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a, **b: (seen.append(spark.conf.get(ntriples.WRITERS)), parquet(*a, **b)))
+    ntriples.write_partitioned(spark.createDataFrame(rows, TRIPLE_SCHEMA), str(tmp_path / "g"), "p")
+    assert seen == [str(ntriples.OPEN_FILES)] and spark.conf.get(ntriples.WRITERS) == before
+    assert {r.s for r in spark.read.parquet(str(tmp_path / "g")).where("p = 'p3'").collect()} == {f"urn:{i}" for i in range(3, 90, 9)}
