@@ -114,3 +114,25 @@ def test_a_stored_graph_is_written_without_a_sort(spark, tmp_path, monkeypatch):
     ntriples.write_partitioned(spark.createDataFrame(rows, TRIPLE_SCHEMA), str(tmp_path / "g"), "p")
     assert seen == [str(ntriples.OPEN_FILES)] and spark.conf.get(ntriples.WRITERS) == before
     assert {r.s for r in spark.read.parquet(str(tmp_path / "g")).where("p = 'p3'").collect()} == {f"urn:{i}" for i in range(3, 90, 9)}
+
+
+def test_only_the_subjects_join_moves_decoded_triples(spark):
+    """Predicates and objects in use are few: their terms are sent to the rows; a schema's terms do not move the dictionary."""
+    from riskgraph.operators import dictionary
+
+    n = F.col("id").cast("string")
+    graph = spark.range(0, 3000).select(
+        F.concat(F.lit("urn:"), F.sha1(n)).alias("s"), F.lit(hr("hasGender")).alias("p"), F.concat(F.lit("urn:g"), F.col("id") % 3).alias("o"), F.lit("iri").alias("o_kind"),
+        F.lit(None).cast("string").alias("o_type"))
+    schema = schema_triples(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        encoded = dictionary.encode(graph)
+        terms = encoded.terms_with(schema)
+        assert terms.count() == terms.distinct().count() == graph.unionByName(schema).selectExpr("explode(array(s || ' iri', p || ' iri', o || ' ' || o_kind))").distinct().count()
+        found = dictionary.decode(cut(dictionary.inferred_ids(encoded, schema)), terms)
+        assert plan_of(found).count("SortMergeJoin") == 1 and plan_of(found).count("BroadcastHashJoin") == 2
+        assert found.count() == 3000 and {tuple(r) for r in found.collect()} == {tuple(r) for r in inferred_triples(graph, schema, skip_subclass=True).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
