@@ -153,3 +153,31 @@ def test_language_sample_counts_distinct_texts(spark, monkeypatch):
     seen.clear()
     language.train(frame, per_class=0)
     assert set(seen.values()) == {1} and len(seen) == 232
+
+
+def test_toxicity_reads_all_labelled_texts(spark):
+    """A word that stands in one text of 4,500 a class counts, and no more of the rows than the distinct texts reach the fit."""
+    from riskgraph.llm.common import all_labelled_texts
+
+    ids = [i for i in range(12000) if not held(i)]
+    docs = spark.createDataFrame([(i, f"text w{'abcdefghij'[i % 10]}{i % 2}x q{chr(97 + i // 500)}{chr(97 + i // 20 % 25)}{chr(97 + i % 20)}z") for i in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    texts, odds = all_labelled_texts(docs, labels, "toxic")
+    assert texts.count() == len(ids) > 8000 and abs(odds) < 0.1
+    rows = texts.collect()
+    want = [Counter(), Counter()]
+    for r in rows:
+        want[1 - r.label].update(toxicity.WORD.findall(r.text))
+    found = toxicity.gram_counts(texts.repartition(5)).toArrow()
+    whole, all_at_once = toxicity.KneserNey.of_grams(found), toxicity.KneserNey(*want)
+    assert np.array_equal(whole.gram, all_at_once.gram) and np.allclose(whole.ratio, all_at_once.ratio) and np.allclose(whole.back, all_at_once.back)
+
+
+def test_logistic_over_rows_equals_the_one_in_memory(spark):
+    from riskgraph.llm.common import fit_logistic, fit_logistic_rows
+
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(500, 4))
+    y = (x @ [1, -2, 0.5, 0] + rng.logistic(size=500) > 0.7).astype(int)
+    rows = spark.createDataFrame([(a.tolist(), int(b)) for a, b in zip(x, y, strict=True)], "features array<double>, label int").repartition(5)
+    assert np.allclose(fit_logistic_rows(rows, 4, 0.3), fit_logistic(x, y, 0.3), atol=1e-6)
