@@ -165,6 +165,9 @@ def test_toxicity_reads_all_labelled_texts(spark):
     texts, odds = all_labelled_texts(docs, labels, "toxic")
     assert texts.count() == len(ids) > 8000 and abs(odds) < 0.1
     rows = texts.collect()
+    for c in (0, 1):
+        mine = sorted((r.text, r.half) for r in rows if r.label == c)
+        assert [half for _, half in mine] == [k % 2 == 1 for k in range(len(mine))]
     want = [Counter(), Counter()]
     for r in rows:
         want[1 - r.label].update(toxicity.WORD.findall(r.text))
